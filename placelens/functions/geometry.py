@@ -17,6 +17,11 @@ EARTH_RADIUS_KM = 6371.0088
 
 METRICS = ("polygon_deg", "circle_deg", "km")
 
+# A point this close to the rim, relative to the radius, lies on it and is not inside.
+# Far above rounding error and far below any coordinate's precision, so that a point
+# exactly on the rim is never decided by rounding.
+RIM = 1e-12
+
 
 def ring(lon: Column, lat: Column, radius: float) -> Column:
     """Closed ring of the buffer polygon around a point: 65 positions, clockwise from east."""
@@ -81,17 +86,22 @@ class Disc:
 
     def contains(self, lon: Column, lat: Column, other_lon: Column, other_lat: Column) -> Column:
         """Whether the other point lies strictly inside the disc around (lon, lat)."""
+        limit = self.radius * (1 - RIM)
         if self.metric == "km":
-            return haversine_km(lon, lat, other_lon, other_lat) < self.radius
+            return haversine_km(lon, lat, other_lon, other_lat) < limit
         dx, dy = other_lon - lon, other_lat - lat
         square = dx * dx + dy * dy
         if self.metric == "circle_deg":
-            return square < self.radius * self.radius
+            return square < limit * limit
         # Inside the polygon: the part of the offset along the normal of its side is
-        # shorter than the distance from centre to side.
+        # shorter than the distance from centre to side. Only offsets between that
+        # distance and the radius depend on the direction.
         sector = 2 * math.pi / BUFFER_SEGMENTS
         off_normal = F.pmod(F.atan2(dy, dx) + F.lit(2 * math.pi), F.lit(sector)) - F.lit(sector / 2)
-        return F.sqrt(square) * F.cos(off_normal) < self.core
+        core = self.core * (1 - RIM)
+        return (square < core * core) | (
+            (square < limit * limit) & (F.sqrt(square) * F.cos(off_normal) < core)
+        )
 
 
 def crossings(lon: Column, lat: Column, edges: Column) -> Column:

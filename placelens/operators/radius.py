@@ -8,8 +8,9 @@ the rim cuts are opened: into smaller boxes, at last into single locations.
 * Equal coordinates collapse into one weighted location on both sides before anything
   is joined, so a pile of copies (such as places without coordinates, all at 0/0) costs
   one row.
-* A box key matches at most splits^d boxes of the next level, whatever the data; the
-  base side of the first join is salted, since one key may hold a large share of it.
+* The boxes inside one box form one row with a short array: at most splits^d of them,
+  whatever the data. A key is therefore unique on the facility side, and where a third
+  of the base points share one, adaptive execution splits them over tasks.
 * All joins are equi-joins on box keys.
 """
 
@@ -23,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placelens.functions.geometry import Disc
-from placelens.plans.joins import SALTS, salted_join
 
 PLACE = ["area", "lon", "lat"]
 # Grid steps are a hair wider than the reach, and boxes within a hair of the rim are
@@ -37,8 +37,7 @@ def count_within(
     radius: float = 2.0,
     metric: str = "polygon_deg",
     match_country: bool = True,
-    splits: tuple[int, ...] = (8, 8),
-    salts: int = SALTS,
+    splits: tuple[int, ...] = (4, 4),
 ) -> DataFrame:
     """``base`` with ``n_within``: facilities strictly inside the disc around each row.
 
@@ -47,7 +46,7 @@ def count_within(
     or ``km``. Every base row stays, with 0 where nothing is near.
 
     ``splits`` says how finely each level divides the boxes of the one before it; add a
-    level where a disc holds far more than a million distinct facility locations.
+    level where a disc holds more than some ten thousand distinct facility locations.
     """
     disc = Disc(metric, radius)
     base = base.withColumns(_place_columns(match_country))
@@ -56,7 +55,6 @@ def count_within(
         _weighted_locations(facilities, match_country),
         disc,
         splits,
-        salts,
     )
     return (
         base.join(counts, PLACE, "left")
@@ -84,7 +82,7 @@ def _weighted_locations(facilities: DataFrame, match_country: bool) -> DataFrame
 
 
 def _counts_by_location(
-    base: DataFrame, facilities: DataFrame, disc: Disc, splits: tuple[int, ...], salts: int
+    base: DataFrame, facilities: DataFrame, disc: Disc, splits: tuple[int, ...]
 ) -> DataFrame:
     axes = range(disc.dimensions)
     at = [f"at{i}" for i in axes]
@@ -104,7 +102,10 @@ def _counts_by_location(
     width = 1
     for level in levels:
         cell = {
-            name: F.floor(F.floor(F.col(a) / finest) / width) for name, a in zip(key(level), at)
+            # Never null, so no null test differs between levels and keeps Spark from
+            # reusing one shuffle of the locations for all of them.
+            name: F.coalesce(F.floor(F.floor(F.col(a) / finest) / width), F.lit(0))
+            for name, a in zip(key(level), at)
         }
         facilities = facilities.withColumns(cell)
         if level == 0:
@@ -115,14 +116,11 @@ def _counts_by_location(
     frontier = _nearby_cells(base, key(0))
     settled = []
     for level in range(1, len(splits) + 1):
-        boxes = _boxes(facilities, key(level - 1), key(level), at)
-        join = salted_join if level == 1 else _join
-        parent = ["area", *key(level - 1)]
-        hits = join(frontier, boxes, parent, "inner", salts)
-        settled.append(hits.filter(_whole_box_inside(disc, at)).select(*PLACE, "weight"))
+        opened = _open(frontier, _boxes(facilities, key(level - 1), key(level), at))
+        settled.append(opened.filter(_whole_box_inside(disc, at)).select(*PLACE, "weight"))
         # Single locations are settled above; only boxes of several can be cut by the rim.
-        crowded = join(frontier, boxes.filter("locations > 1"), parent, "inner", salts)
-        frontier = crowded.filter(_rim_cuts_box(disc, at)).select(*PLACE, *at, *key(level))
+        cut = opened.filter((F.col("locations") > 1) & _rim_cuts_box(disc, at))
+        frontier = cut.select(*PLACE, *at, *key(level))
     last = ["area", *key(len(splits))]
     points = facilities.select(
         *last, F.col("lon").alias("f_lon"), F.col("lat").alias("f_lat"), "weight"
@@ -136,10 +134,6 @@ def _counts_by_location(
     )
 
 
-def _join(left: DataFrame, right: DataFrame, on: list[str], how: str, _salts: int) -> DataFrame:
-    return left.join(right, on, how)
-
-
 def _nearby_cells(base: DataFrame, cells: list[str]) -> DataFrame:
     """Each location once per cell that its disc may touch: its own and all around it."""
     around = F.array(
@@ -153,17 +147,34 @@ def _nearby_cells(base: DataFrame, cells: list[str]) -> DataFrame:
 
 
 def _boxes(facilities: DataFrame, parent: list[str], own: list[str], at: list[str]) -> DataFrame:
-    """Bounding box, number of locations and total weight of every cell of one level."""
+    """Per parent cell, an array of its occupied cells one level down.
+
+    Of each: bounding box, number of locations, total weight, and a location (the only
+    one, if there is one).
+    """
     bounds = [
         agg(a).alias(f"{side}_{a}") for a in at for side, agg in (("low", F.min), ("high", F.max))
     ]
-    return facilities.groupBy("area", *parent, *own).agg(
+    boxes = facilities.groupBy("area", *parent, *own).agg(
         F.count("*").alias("locations"),
         F.sum("weight").alias("weight"),
         F.min("lon").alias("box_lon"),
         F.min("lat").alias("box_lat"),
         *bounds,
     )
+    fields = [c for c in boxes.columns if c not in ("area", *parent)]
+    return boxes.groupBy("area", *parent).agg(F.collect_list(F.struct(*fields)).alias("boxes"))
+
+
+def _open(frontier: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Each frontier row once per box inside its cell."""
+    cell = [c for c in boxes.columns if c != "boxes"]
+    own = [c for c in frontier.columns if c not in cell or c == "area"]
+    return (
+        frontier.join(boxes, cell)
+        .select(*own, F.explode("boxes").alias("box"))
+        .select(*own, "box.*")
+    )
 
 
 def _near_square(at: list[str]) -> Column:
@@ -181,12 +192,20 @@ def _far_square(at: list[str]) -> Column:
 
 
 def _whole_box_inside(disc: Disc, at: list[str]) -> Column:
+    """Distances settle nearly every box; a single location near the rim is tested exactly."""
     exact = disc.contains(F.col("lon"), F.col("lat"), F.col("box_lon"), F.col("box_lat"))
-    safely = _far_square(at) < (disc.core * (1 - SLACK)) ** 2
-    return F.when(F.col("locations") == 1, exact).otherwise(safely)
+    return (_far_square(at) < _core_square(disc)) | (
+        (F.col("locations") == 1) & (_near_square(at) < _reach_square(disc)) & exact
+    )
 
 
 def _rim_cuts_box(disc: Disc, at: list[str]) -> Column:
-    return (_far_square(at) >= (disc.core * (1 - SLACK)) ** 2) & (
-        _near_square(at) < (disc.reach * (1 + SLACK)) ** 2
-    )
+    return (_near_square(at) < _reach_square(disc)) & (_far_square(at) >= _core_square(disc))
+
+
+def _core_square(disc: Disc) -> float:
+    return (disc.core * (1 - SLACK)) ** 2
+
+
+def _reach_square(disc: Disc) -> float:
+    return (disc.reach * (1 + SLACK)) ** 2

@@ -67,7 +67,7 @@ def proximity(
     radius: float = 2.0,
     metric: str = "polygon_deg",
     match_country: bool = True,
-    splits: tuple[int, ...] = (8, 8),
+    splits: tuple[int, ...] = (4, 4),
 ) -> DataFrame:
     """Every base place with the number of analysed places near it; for one country or all."""
     if country_code is not None:

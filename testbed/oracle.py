@@ -8,14 +8,14 @@ LETTER = "CASE WHEN p_type = 'STANDARD' THEN 'V' ELSE translate(substr(p_type, 1
 def _lon(nation: str, key: str, multiplier: int) -> str:
     return (
         f"(-100.0::DOUBLE + ({nation} % 5)::DOUBLE * 40.0::DOUBLE"
-        f" + ((({key})::BIGINT * {multiplier}) % 10000)::DOUBLE / 1000.0::DOUBLE + 0.0005::DOUBLE)"
+        f" + (((({key})::BIGINT * {multiplier}) % 10000)::DOUBLE / 1000.0::DOUBLE + 0.0005::DOUBLE))"
     )
 
 
 def _lat(nation: str, key: str, multiplier: int) -> str:
     return (
         f"(-60.0::DOUBLE + ({nation} // 5)::DOUBLE * 25.0::DOUBLE"
-        f" + ((({key})::BIGINT * {multiplier}) % 10000)::DOUBLE / 1000.0::DOUBLE + 0.0005::DOUBLE)"
+        f" + (((({key})::BIGINT * {multiplier}) % 10000)::DOUBLE / 1000.0::DOUBLE + 0.0005::DOUBLE))"
     )
 
 
@@ -191,10 +191,11 @@ _CLEAN_VALUES = f"""
 _CLEAN = f"""SELECT {_PLACE_TEXT}, round(coalesce(lat, 0.0), 6) AS latitude,
                     round(coalesce(lon, 0.0), 6) AS longitude FROM clean"""
 
-# The offset (dx, dy) of a facility lies inside the 64-sided buffer of radius 2.
+# The offset (dx, dy) of a facility lies strictly inside the 64-sided buffer of radius 2;
+# a hair off the rim counts as on it, so rounding decides nothing.
 _IN_POLYGON = """sqrt(dx * dx + dy * dy) * cos(
     ((atan2(dy, dx) + 2 * pi()) - floor((atan2(dy, dx) + 2 * pi()) / (pi() / 32)) * (pi() / 32)) - pi() / 64)
-    < 2.0::DOUBLE * cos(pi() / 64)"""
+    < 2.0::DOUBLE * cos(pi() / 64) * (1 - 1e-12)"""
 _KM = """2 * 6371.0088::DOUBLE * asin(least(1.0::DOUBLE, sqrt(
     pow(sin(radians(f.latitude - b.latitude) / 2), 2)
     + cos(radians(b.latitude)) * cos(radians(f.latitude)) * pow(sin(radians(f.longitude - b.longitude) / 2), 2))))"""
@@ -412,7 +413,7 @@ def oracle_sql() -> dict[str, str]:
                FROM base_points, range(65) r(i)""",
         ),
         "within_polygon_deg": _within_degrees(_IN_POLYGON),
-        "within_circle_deg": _within_degrees("dx * dx + dy * dy < 4"),
+        "within_circle_deg": _within_degrees("dx * dx + dy * dy < 4 * (1 - 2e-12)"),
         "within_km": _within_km(250, "b.country_code = f.country_code"),
         "within_km_any_country": _within_km(2500, "TRUE"),
         "place_proximity": _sql(
