@@ -278,10 +278,10 @@ def oracle_sql() -> dict[str, str]:
         "clean_places_located": _sql(
             "", _CLEAN + " WHERE lat IS NOT NULL AND lon IS NOT NULL", clean=_CLEAN_VALUES
         ),
-        "places_in_country": _sql("places", f"SELECT {_PLACE} FROM places WHERE country_code = '7'"),
+        "places_in_country": _sql("places", f"SELECT {_PLACE} FROM places WHERE country_code = '19'"),
         "places_by_class": _sql(
             "enriched",
-            f"SELECT {_PLACE}, country FROM enriched WHERE country = 'NATION_7' AND feature_class = 'P'",
+            f"SELECT {_PLACE}, country FROM enriched WHERE country = 'NATION_19' AND feature_class = 'P'",
         ),
         "keyword_features": _sql("health", "SELECT * FROM health"),
         "keyword_features_short_only": _sql("school", "SELECT * FROM school"),

@@ -20,8 +20,8 @@ from testbed import adapters as t
 
 DIGITS = 6
 BASE_URL = "http://example.org/dump/"
-COUNTRY_CODE = "7"
-COUNTRY, CLASS = "NATION_7", "P"
+COUNTRY_CODE = "19"
+COUNTRY, CLASS = "NATION_19", "P"
 DENSITY_CELLS = 32
 
 Query = Callable[[SparkSession, str], DataFrame]

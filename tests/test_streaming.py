@@ -38,6 +38,7 @@ def test_state_goes_to_the_shared_folder(spark, tmp_path):
     raw.mkdir()
     drop(raw, "AA.csv", [raw_line(1)])
     stream = stream_raw_places(spark, str(raw))
+    spark.conf.set("spark.checkpoint.dir", "")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         run_refresh(stream, str(tmp_path / "t"))
     spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
