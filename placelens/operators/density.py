@@ -128,10 +128,12 @@ def _sum_over_bins(bins: DataFrame, size: int) -> DataFrame:
         "longitude", F.col("low_x") + F.col("ix") * F.col("step_x")
     )
     u1, rest = _rounded_space(F.col("longitude"), F.lit(0.0))
-    columns = across.withColumns({"x1": u1 - F.col("c1"), "rest": rest}).select(
-        "country_code", "ix", "longitude", "x1", "rest", "c2", "low_y", "step_y", "l11", "l22", "n",
+    height = 1 / (2 * F.pi() * F.col("l11") * F.col("l22") * F.col("n"))
+    columns = across.withColumns({"x1": u1 - F.col("c1"), "rest": rest})
+    columns = columns.withColumn("factor", F.exp(F.expr("-x1 * x1 / 2")) * height).select(
+        "country_code", "ix", "longitude", "rest", "c2", "low_y", "step_y", "l22",
         *[
-            F.expr(_horner("x1", [_name(i, j) for i in range(ORDER - j + 1)])).alias(f"k{j}")
+            F.expr(f"factor * ({_horner('x1', [_name(i, j) for i in range(ORDER - j + 1)])})").alias(f"k{j}")
             for j in range(ORDER + 1)
         ],
     )
@@ -140,12 +142,11 @@ def _sum_over_bins(bins: DataFrame, size: int) -> DataFrame:
     )
     offsets = cells.withColumn("x2", F.col("latitude") / F.col("l22") + F.col("rest") - F.col("c2"))
     powers = _horner("x2", [f"k{j}" for j in range(ORDER + 1)])
-    value = F.expr(f"exp(-(x1 * x1 + x2 * x2) / 2) * ({powers})")
-    height = 1 / (2 * F.pi() * F.col("l11") * F.col("l22") * F.col("n"))
+    value = F.expr(f"exp(-x2 * x2 / 2) * ({powers})")
     return offsets.groupBy("country_code", "ix", "iy").agg(
         F.any_value("longitude").alias("longitude"),
         F.any_value("latitude").alias("latitude"),
-        (F.sum(value) * F.any_value(height)).alias("density"),
+        F.sum(value).alias("density"),
     )
 
 

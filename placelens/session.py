@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Plans here are built from many small expressions; skip recording a call site for each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
