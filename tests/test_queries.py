@@ -60,3 +60,16 @@ def test_no_nested_loop_and_no_python(spark, sf_dir, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
     for node in ("CartesianProduct", "NestedLoop", "Python", "MapInPandas"):
         assert node not in plan
+
+
+def test_index_reads_the_large_table_once(spark, sf_dir):
+    df = QUERIES["country_index_scaled"](spark, sf_dir)
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet [l_orderkey") == 1
+    assert "ReusedExchange" in final
+
+
+def test_scan_reads_only_needed_columns(spark, sf_dir):
+    plan = plan_of(QUERIES["code_counts"](spark, sf_dir))
+    assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint>" in plan
