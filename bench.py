@@ -51,7 +51,7 @@ def start(cpus: str) -> SparkSession:
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": str(2 * int(cpus)),
         # One machine with little data: keep all cores busy after a shuffle.
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.files.maxPartitionBytes": "4m",
     }
     for key, value in {**SETTINGS, **local}.items():

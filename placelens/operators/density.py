@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placelens.operators.containment import points_in_shapes
-from placelens.plans.joins import join_dimension
+from placelens.plans.joins import is_small, join_dimension
 
 ORDER = 10
 BINS_PER_BANDWIDTH = 2
@@ -89,7 +89,9 @@ def density_grid(
     )
     countries = outlines.select("country_code").distinct()
     shapes = kernel_shapes(located, size, cut).join(countries, "country_code", "left_semi")
-    bins = _bin_moments(join_dimension(located, shapes, ["country_code"], bound=outlines))
+    # One narrow row per outlined country: no larger than the outlines.
+    placed = join_dimension(located, shapes, ["country_code"], small=is_small(outlines))
+    bins = _bin_moments(placed)
     cells = _sum_over_bins(bins, size)
     if not clip:
         return cells

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from placelens.functions.scaling import log_shade, min_max, ratio
 from placelens.operators.selection import CLASS_AND_CODE_KEY, CODE_KEY
-from placelens.plans.joins import join_dimension
+from placelens.plans.joins import is_small, join_dimension
 
 COUNTRY_COLUMNS = ["population", "area_sq_km", "geonameid", "neighbours"]
 
@@ -35,11 +35,13 @@ def facility_counts(
     keys = CODE_KEY if keys is None else keys
     if keys not in (CODE_KEY, CLASS_AND_CODE_KEY):
         raise ValueError(f"keys must be {CODE_KEY} or {CLASS_AND_CODE_KEY}")
+    small = is_small(info)
     tagged = join_dimension(
         places.filter("country_code IS NOT NULL").select("geonameid", "country_code", *keys),
-        info.select("geonameid", F.col("geonameid").alias("own_id")),
+        info.select("geonameid", F.col("geonameid").alias("own_id")).distinct(),
         ["geonameid"],
         "left",
+        small=small,
     )
     per_code = tagged.groupBy("country_code", *keys, "own_id").agg(F.count("*").alias("n"))
 
@@ -56,7 +58,8 @@ def facility_counts(
     )
     columns = [c for c in ("feature_class", "feature_code") if c in matched.columns]
     described = join_dimension(counts, matched.select(*columns), keys)
-    return join_dimension(described, info.select(*COUNTRY_COLUMNS), ["geonameid"]).select(
+    attributes = info.select(*COUNTRY_COLUMNS)
+    return join_dimension(described, attributes, ["geonameid"], small=small).select(
         "feature_code", "country_code", "n", "feature_class", *COUNTRY_COLUMNS
     )
 

@@ -44,7 +44,7 @@ def join_dimension(
     dimension: DataFrame,
     on: list[str],
     how: str = "inner",
-    bound: DataFrame | None = None,
+    small: bool | None = None,
     limit: int = BROADCAST_BYTES,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -55,12 +55,12 @@ def join_dimension(
       measured, and broadcast if it is within ``limit``;
     * otherwise a salted shuffle join.
 
-    For a dimension that is costly to compute, ``bound`` may name a cheap table with at
-    least as many rows of about its width; that one is checked instead.
+    ``small`` is the verdict of :func:`is_small` where the caller has it already, on this
+    dimension or on one that it cannot outgrow; then nothing is checked here.
     """
-    if bound is None and estimated_bytes(dimension) <= planner_limit(dimension):
+    if small is None and estimated_bytes(dimension) <= planner_limit(dimension):
         return facts.join(dimension, on, how)
-    if is_small(dimension if bound is None else bound, limit):
+    if small or (small is None and measured_bytes(dimension) <= limit):
         return facts.join(F.broadcast(dimension), on, how)
     return salted_join(facts, dimension, on, how, salts)
 
