@@ -169,7 +169,8 @@ def _sql(needs: str, body: str, **extra: str) -> str:
     return (f"WITH {', '.join(parts)}\n" if parts else "") + body
 
 
-_PLACE_TEXT = "geonameid, name, feature_class, feature_code, country_code, population, elevation, timezone, modification_date"
+_PLACE_TEXT = """geonameid, name, feature_class, feature_code, country_code, population,
+    elevation::DOUBLE AS elevation, timezone, modification_date::VARCHAR AS modification_date"""
 _PLACE = f"{_PLACE_TEXT}, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude"
 _FACILITY = "feature_code, country_code, n, feature_class, population, area_sq_km, geonameid, neighbours"
 _TOTAL = "feature_class, country_code, total, population, area_sq_km, geonameid, neighbours"

@@ -39,9 +39,21 @@ def queries() -> dict[str, Query]:
 
 
 def _rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    return df.select(
-        *[F.round(c, digits).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes]
-    )
+    """A result in a form two engines print alike.
+
+    Doubles rounded, dates as text, and the one integer column with nulls as a double.
+    """
+
+    def shown(name: str, kind: str):
+        if kind == "double":
+            return F.round(name, digits).alias(name)
+        if kind == "date":
+            return F.col(name).cast("string").alias(name)
+        if name == "elevation":
+            return F.col(name).cast("double").alias(name)
+        return F.col(name)
+
+    return df.select(*[shown(*column) for column in df.dtypes])
 
 
 # Shared intermediate results.
