@@ -113,7 +113,10 @@ class Words:
     """Words of several texts: byte spans, hashes, text index and place in the text."""
 
     def __init__(self, texts: pa.Array, lower: bool = True, dropped: np.ndarray | None = None):
-        """dropped: which bytes are left out of the hashes, by byte; words without others vanish."""
+        """dropped: which bytes are left out of the hashes, by byte; words without others vanish.
+
+        With it, capitals of Latin-1 are lower-cased as well.
+        """
         self.data, self.offsets = text_bytes(texts)
         data, n = self.data, len(self.data)
         self.texts = len(self.offsets) - 1
@@ -138,6 +141,10 @@ class Words:
         if self.count:
             letters = data[at]
             letters = _LOWER[letters] if lower else letters
+            if dropped is not None and len(letters) > 1:
+                # Capitals of two bytes from U+00C0 to U+00DE.
+                capital = (letters[:-1] == 0xC3) & (letters[1:] >= 0x80) & (letters[1:] <= 0x9E) & (letters[1:] != 0x97)
+                letters[1:][capital] += 32
             place = np.arange(len(at)) - np.repeat(starts, lengths)
             values = _BYTE[letters] * _places(int(lengths.max()))[place]
             self.hash = mix(np.add.reduceat(values, starts) + lengths.astype(np.uint64))

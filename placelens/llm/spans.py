@@ -1,6 +1,7 @@
 """Substring deduplication by sliding sentence spans.
 
-A text is cut into sentences after ``.``, ``!`` or ``?`` before white space, and at line ends. From every
+A text is cut into sentences after a stop before white space, and at line ends. Commas, colons and semicolons are stops as well: a
+passage that was put inside a sentence is then found but for a few words at its edges. From every
 sentence a span runs over the fewest sentences that are at least ``sentences`` and hold at least ``words``
 words; equal words give equal spans wherever they stand. Every span is hashed. The first place of a
 hash, by id and then place in the text, stays; sentences that any other place of it covers are
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from placelens.llm import shared as s
 
 SENTENCES, WORDS = 3, 20
+STOPS = b".!?,;:"
 
 
 class _Sentences:
@@ -36,7 +38,7 @@ class _Sentences:
             self.count, self.at, self.last, self.hash = 0, *[np.zeros(0, np.int64)] * 3
             self.text = self.at
             return
-        stop = np.isin(w.data[w.end - 1], np.frombuffer(b".!?", np.uint8))
+        stop = np.isin(w.data[w.end - 1], np.frombuffer(STOPS, np.uint8))
         lines = np.r_[0, np.cumsum(w.data == 10)]
         broken = np.r_[lines[w.start[1:]] > lines[w.end[:-1]], True]
         final = np.r_[w.text[1:] != w.text[:-1], True]
