@@ -15,7 +15,9 @@ The result is a class and a component for each document, not all pairs.
 4. Within a key every class is first verified against one hub, the class with the fewest shingles
    of its own, which in a group of near copies is the least edited one. That ties a group
    together with one comparison a member. Then come all pairs of a key that still are in different
-   components; a pair whose counts of own shingles already exclude a link isn't made.
+   components; a pair whose counts of own shingles already exclude a link isn't made. In a key that more than
+   ``LOW`` classes have, all shingles of up to so many classes count as own: they come first in the
+   order, so each of them is in the prefix as well, and a pair that shares one is found there.
 5. Every link is verified on the whole sets. Components spread by least label with pointer jumps.
 
 Nothing is capped. Hot shingles are counted with partial aggregation; joins on them have plain
@@ -35,6 +37,7 @@ from pyspark.sql import functions as F
 
 from placelens.llm import shared as s
 
+LOW = 16
 FREQUENT = 256
 MOST_IN_COMBINATIONS = 32
 FILTER_SEGMENTS = 512
@@ -87,10 +90,6 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, k: int, percent: i
     return s.map_chunks(narrow, "text", run, f"id {kind}, c long, n int, prefix array<long>")
 
 
-def _required_col(n: Column, percent: int) -> Column:
-    return F.expr(f"-((-cast({n} as long) * {percent}) div 100)") if isinstance(n, str) else F.ceil(n * percent / 100)
-
-
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     """Classes whose first prefix allows a link."""
     exploded = classes.select("c", F.explode("prefix").alias("token"))
@@ -124,13 +123,10 @@ def _whole_sets(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str,
 
     def screen(batches):
         for batch in batches:
-            for row in (np.flatnonzero(_passes(batch, shipped.value)),):
-                if len(row):
-                    yield batch.take(pa.array(row)).select(["c", "tokens", "id"])
-
-    def _passes(batch, filter_bits):
-        keys = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
-        return s.bloom_probe(filter_bits, keys)
+            keys = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
+            rows = np.flatnonzero(s.bloom_probe(shipped.value, keys))
+            if len(rows):
+                yield batch.take(pa.array(rows)).select(["c", "tokens", "id"])
 
     narrow = docs.select(s.column(id_col).alias("id"), s.column(text_col).alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
@@ -152,13 +148,14 @@ def _keys(sets: DataFrame, percent: int) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("met"))
         .withColumn("own", F.expr("n - size(met)"))
         .where(f"100 * (n - own) >= {percent} * n and own < {length}")
-        .select("c", "n", "own", F.expr(f"slice(met, 1, {length} - own)").alias("met"))
+        .withColumn("low", F.expr(f"own + size(filter(met, m -> m.df <= {LOW}))"))
+        .select("c", "n", "own", "low", F.expr(f"slice(met, 1, {length} - own)").alias("met"))
     )
     prefixes = s.materialize(
         prefixes.withColumn("frequent", F.expr(f"size(filter(met, m -> m.df > {FREQUENT}))")), "prefixes"
     )
-    tokens = prefixes.select("c", "n", "own", "frequent", F.explode("met").alias("m")).select(
-        "c", "n", "own", "frequent", "m.*"
+    tokens = prefixes.select("c", "n", "own", "low", "frequent", F.explode("met").alias("m")).select(
+        "c", "n", F.expr(f"if(m.df <= {LOW}, own, low)").alias("own"), "frequent", "m.*"
     )
     combined = s.materialize(
         tokens.where(f"df > {FREQUENT}")
