@@ -15,9 +15,9 @@ The result is a class and a component for each document, not all pairs.
 4. Within a key every class is first verified against one hub, the class with the fewest shingles
    of its own, which in a group of near copies is the least edited one. That ties a group
    together with one comparison a member. Then come all pairs of a key that still are in different
-   components; a pair whose counts of own shingles already exclude a link isn't made. In a key that more than
-   ``LOW`` classes have, all shingles of up to so many classes count as own: they come first in the
-   order, so each of them is in the prefix as well, and a pair that shares one is found there.
+   components. A pair is made at its first common key, the rarest: all shingles that either class
+   has before it aren't shared, and if they and the sizes exclude a link the pair isn't made. Shingles of the
+   frequent class only count those of the rare one as before them.
 5. Every link is verified on the whole sets. Components spread by least label with pointer jumps.
 
 Nothing is capped. Hot shingles are counted with partial aggregation; joins on them have plain
@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 
 from placelens.llm import shared as s
 
-LOW = 16
 FREQUENT = 256
 MOST_IN_COMBINATIONS = 32
 FILTER_SEGMENTS = 512
@@ -138,7 +137,7 @@ def _whole_sets(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str,
 
 
 def _keys(sets: DataFrame, percent: int) -> DataFrame:
-    """key, class, size and number of shingles that no other class has, for the second prefix."""
+    """key, class, size, ``lone`` shingles that no other class has and ``own`` ones before the key, for the second prefix."""
     exploded = sets.select("c", "n", F.explode("tokens").alias("token"))
     counted = s.materialize(exploded.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "counted")
     length = f"n - (-((-n * {percent}) div 100)) + 2"
@@ -148,14 +147,14 @@ def _keys(sets: DataFrame, percent: int) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("met"))
         .withColumn("own", F.expr("n - size(met)"))
         .where(f"100 * (n - own) >= {percent} * n and own < {length}")
-        .withColumn("low", F.expr(f"own + size(filter(met, m -> m.df <= {LOW}))"))
+        .withColumn("low", F.expr(f"own + size(filter(met, m -> m.df <= {FREQUENT}))"))
         .select("c", "n", "own", "low", F.expr(f"slice(met, 1, {length} - own)").alias("met"))
     )
     prefixes = s.materialize(
         prefixes.withColumn("frequent", F.expr(f"size(filter(met, m -> m.df > {FREQUENT}))")), "prefixes"
     )
-    tokens = prefixes.select("c", "n", "own", "low", "frequent", F.explode("met").alias("m")).select(
-        "c", "n", F.expr(f"if(m.df <= {LOW}, own, low)").alias("own"), "frequent", "m.*"
+    tokens = prefixes.select("c", "n", "own", "low", "frequent", F.posexplode("met").alias("pos", "m")).select(
+        "c", "n", F.col("own").alias("lone"), F.expr("least(own + pos, low)").alias("own"), "frequent", "m.*"
     )
     combined = s.materialize(
         tokens.where(f"df > {FREQUENT}")
@@ -167,10 +166,11 @@ def _keys(sets: DataFrame, percent: int) -> DataFrame:
     )
     rare = tokens.where(f"df <= {FREQUENT}")
     frequent = tokens.where(f"df > {FREQUENT}").join(combined.withColumn("hit", F.lit(True)), "token", "left")
-    alone = rare.select("token", "c", "n", "own").unionByName(frequent.where("hit is null").select("token", "c", "n", "own"))
+    columns = ["token", "c", "n", "lone", "own"]
+    alone = rare.select(columns).unionByName(frequent.where("hit is null").select(columns))
     pairs = (
         frequent.where("hit")
-        .groupBy("c", "n", "own")
+        .groupBy("c", "n", "lone", "own")
         .agg(F.sort_array(F.collect_list("token")).alias("t"))
         .select(
             F.explode(
@@ -178,6 +178,7 @@ def _keys(sets: DataFrame, percent: int) -> DataFrame:
             ).alias("token"),
             "c",
             "n",
+            "lone",
             "own",
         )
     )
@@ -245,7 +246,7 @@ def jaccard_groups(
     keys = s.materialize(_keys(sets, percent), "keys")
     hubs = s.materialize(
         keys.groupBy("key")
-        .agg(F.count("*").alias("size"), F.min(F.struct("own", "c", "n")).alias("hub"))
+        .agg(F.count("*").alias("size"), F.min(F.struct("lone", "c", "n", "own")).alias("hub"))
         .where("size > 1")
         .select("key", F.col("hub.c").alias("a"), F.col("hub.n").alias("na"), F.col("hub.own").alias("oa")),
         "hubs",
