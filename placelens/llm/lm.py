@@ -95,8 +95,14 @@ class Model:
         before = None
         probability = np.zeros(0)
         for n in range(1, len(self.filters) + 1):
-            keys, back = np.unique(_ngrams(hashes, place, n), return_inverse=True)
-            level = self.levels(n, keys)[back]
+            # An n-gram can only be in the filter if the two n-grams inside it are.
+            asked = np.ones(len(hashes), bool)
+            if n > 1:
+                asked = (before > 0) & (np.r_[False, before[:-1] > 0] | (place == 0))
+                asked &= (place > 0) | (n == 2)
+            keys, back = np.unique(_ngrams(hashes, place, n)[asked], return_inverse=True)
+            level = np.zeros(len(hashes), np.int64)
+            level[asked] = self.levels(n, keys)[back]
             if n == 1:
                 known = (middle[level] * self.scale + 0.1) / self.whole
                 probability = np.where(level > 0, known, self.rare_share)
@@ -166,8 +172,9 @@ def train(
             counts = s.materialize(_counted(training, n, shipped).where(kept), "ngrams")
         entries = counts.where(kept)
         if n == 1:
-            texts = training.sparkSession.createDataFrame([(int(s.signed(_START)[0]),)], "key long")
-            entries = entries.unionByName(texts.crossJoin(training.agg(F.count("*").alias("n"))).where(kept))
+            # The mark before a text, once for each text.
+            start = [(int(s.signed(_START)[0]), training.count())]
+            entries = entries.unionByName(training.sparkSession.createDataFrame(start, "key long, n long").where(kept))
         leveled = entries.select("key", F.explode(F.sequence(F.lit(1), level)).alias("salt"))
         held = entries.agg(F.coalesce(F.sum(level), F.lit(0))).first()[0]
         model.filters.append(s.build_bloom(leveled, s.segments_for(held)))

@@ -228,11 +228,11 @@ def segments_for(entries: int, bits_per_entry: int = 12) -> int:
     return max(1, -(-entries * bits_per_entry // SEGMENT_BITS))
 
 
-def bloom_places(keys: np.ndarray, salt: np.ndarray | int = 0) -> np.ndarray:
+def bloom_places(keys: np.ndarray, salt: np.ndarray | int = 0, probes: range = range(PROBES)) -> np.ndarray:
     """Bit numbers inside a key's segment, a row for each probe."""
     a = mix(keys + np.asarray(salt, np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     b = mix(a ^ _PAD) | np.uint64(1)
-    steps = np.arange(1, PROBES + 1, dtype=np.uint64)[:, None]
+    steps = np.array(probes, np.uint64)[:, None] + np.uint64(1)
     return ((a + steps * b) >> np.uint64(44)) & np.uint64(SEGMENT_BITS - 1)
 
 
@@ -242,11 +242,17 @@ def bloom_segment(keys: np.ndarray, count: int) -> np.ndarray:
 
 def bloom_probe(bits: np.ndarray, keys: np.ndarray, salt: np.ndarray | int = 0) -> np.ndarray:
     """Which keys the filter may hold. bits: a row of bytes for each segment."""
-    segment = bloom_segment(keys, len(bits))
-    found = np.ones(len(keys), bool)
-    for place in bloom_places(keys, salt):
-        byte = bits[segment, (place >> np.uint64(3)).astype(np.int64)]
-        found &= (byte >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    found = np.zeros(len(keys), bool)
+    alive = np.arange(len(keys))
+    # Most keys that aren't there fail the first probe.
+    for probes in (range(1), range(1, PROBES)):
+        own = keys[alive]
+        segment, kept = bloom_segment(own, len(bits)), np.ones(len(own), bool)
+        for place in bloom_places(own, salt, probes):
+            byte = bits[segment, (place >> np.uint64(3)).astype(np.int64)]
+            kept &= (byte >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        alive = alive[kept]
+    found[alive] = True
     return found
 
 
