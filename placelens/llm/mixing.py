@@ -28,7 +28,7 @@ from placelens.llm.shared import column, free_name, materialize
 
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
-ROWS_IN_RANGE = 8192
+ROWS_IN_RANGE = 2048
 WORD = r"[^\x20\x09-\x0D]+"
 
 
