@@ -3,12 +3,12 @@
 A rule is a host and the start of a path with a verdict; it fits its host and all subdomains, and the
 longest fitting rule wins. Where none fits, boosted trees decide. They learn from labelled urls; their features are lengths of
 url, host and path, depth of path and host, share of digits, entropy of the characters, parameters, signs,
-and statistics of the host's suffixes (last part and last two): how many labelled urls have it, and
+and statistics of the host's suffixes (last part, last two, last part with the path's first folder): how many labelled urls have it, and
 which smoothed share of them is to be blocked.
 
 All features are SQL expressions and the trees are Spark ML's; no Python runs on executors. The trees
 and the suffix statistics are fitted on at most ``sample`` labelled urls, those with the smallest hash, so the
-table of suffixes has at most that many rows and may be broadcast.
+tables of suffixes have at most that many rows and may be broadcast.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, fits no rule and is judged by the trees as
 an empty text; without labels, or with labels of one kind, every url is allowed or gets that kind; repeated rows get
@@ -31,7 +31,7 @@ PRIOR = 20.0
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FEATURES = (
     "n_url n_host n_path depth labels digits digit_share entropy params signs has_www secure suffix_n suffix_share "
-    "domain_n domain_share"
+    "domain_n domain_share folder_n folder_share"
 ).split()
 
 
@@ -81,8 +81,11 @@ def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
     return {k: v.cast("double") for k, v in parts.items()}
 
 
-def suffixes(host: Column) -> tuple[Column, Column]:
-    return F.substring_index(host, ".", -1), F.substring_index(host, ".", -2)
+def suffixes(host: Column, path: Column) -> dict[str, Column]:
+    """What statistics are kept of: last part of the host, last two, and last part with the path's first folder."""
+    last = F.substring_index(host, ".", -1)
+    folder = F.concat(last, F.lit("/"), F.substring_index(F.substring(path, 2, 1 << 30), "/", 1))
+    return {"suffix": last, "domain": F.substring_index(host, ".", -2), "folder": folder}
 
 
 class UrlModel:
@@ -94,13 +97,15 @@ class UrlModel:
     def featured(self, urls: DataFrame) -> DataFrame:
         """``urls`` (url, host, path and more) with all features."""
         out = urls.select("*", *[v.alias(k) for k, v in lexical(F.col("url"), F.col("host"), F.col("path")).items()])
-        for name, part in zip(("suffix", "domain"), suffixes(F.col("host")), strict=True):
+        for name, part in suffixes(F.col("host"), F.col("path")).items():
             side = self.statistics.where(F.col("kind") == name).select(
                 F.col("part").alias("_part"), F.col("n").alias(f"{name}_n"), F.col("share").alias(f"{name}_share")
             )
             # At most one row for each sampled url.
             out = out.join(F.broadcast(side), part == F.col("_part"), "left").drop("_part")
-        return out.fillna(0.0, ["suffix_n", "domain_n"]).fillna(self.overall, ["suffix_share", "domain_share"])
+        return out.fillna(0.0, ["suffix_n", "domain_n", "folder_n"]).fillna(
+            self.overall, ["suffix_share", "domain_share", "folder_share"]
+        )
 
     def block_share(self, urls: DataFrame) -> DataFrame:
         """``urls`` with ``p_block``, the trees' probability that a url is to be blocked."""
@@ -123,10 +128,10 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, trees: int = TREES, depth: in
     overall = bad / n if n else 0.0
     kinds = [
         picked.select(F.lit(name).alias("kind"), part.alias("part"), "blocked")
-        for name, part in zip(("suffix", "domain"), suffixes(F.col("host")), strict=True)
+        for name, part in suffixes(F.col("host"), F.col("path")).items()
     ]
     statistics = materialize(
-        kinds[0].unionByName(kinds[1]).groupBy("kind", "part").agg(
+        kinds[0].unionByName(kinds[1]).unionByName(kinds[2]).groupBy("kind", "part").agg(
             F.count("*").cast("double").alias("n"), ((F.sum("blocked") + PRIOR * overall) / (F.count("*") + PRIOR)).alias("share")
         ),
         "suffixes",
