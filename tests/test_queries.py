@@ -6,14 +6,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from testbed import oracle, registry
 from tests.conftest import SF_DIR, plan_of
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
