@@ -37,15 +37,14 @@ _BLOCK = re.compile(
     re.I,
 )
 _TAG = re.compile(r"</?[a-zA-Z][^>]*>|<![^>]*>|<\?[^>]*>")
-_BLANKS = re.compile(r"[^\S\n]+")
-_LINES = re.compile(r" ?\n[ \n]*")
 _CONTROL = re.compile(r"[\x00-\x1f\x7f]")
 
 
 def plain_text(page: str) -> str:
     text = _HIDDEN.sub(" ", page)
     text = _TAG.sub("", _BLOCK.sub("\n", text.replace("\r", " ").replace("\n", " ")))
-    return _LINES.sub("\n", _BLANKS.sub(" ", html.unescape(text))).strip()
+    lines = (" ".join(line.split()) for line in html.unescape(text).split("\n"))
+    return "\n".join(line for line in lines if line)
 
 
 def digest(data: bytes) -> str:
