@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placelens.functions.geometry import crossings
-from placelens.plans.joins import join_dimension
+from placelens.plans.joins import free_names, join_dimension
 
 BAND_DEGREES = 1.0
 CELL_DEGREES = 5.0
@@ -72,16 +72,14 @@ def points_in_shapes(
     """
     match = match or []
     keys = list(dict.fromkeys([*shape_key, *match]))
-    bands = outline_bands(shapes, keys, band, cell)
+    own = ["band", "cell", "edges"]
+    names = free_names([f"_{name}" for name in own], points, shapes)
+    bands = outline_bands(shapes, keys, band, cell).withColumnsRenamed(dict(zip(own, names)))
     placed = points.withColumns(
-        {"band": _step(F.col("latitude"), band), "cell": _step(F.col("longitude"), cell)}
-    )
-    inside = crossings(F.col("longitude"), F.col("latitude"), F.col("edges")) % 2 == 1
-    return (
-        join_dimension(placed, bands, [*match, "band", "cell"])
-        .filter(inside)
-        .drop("band", "cell", "edges")
+        {names[0]: _step(F.col("latitude"), band), names[1]: _step(F.col("longitude"), cell)}
     )
+    inside = crossings(F.col("longitude"), F.col("latitude"), F.col(names[2])) % 2 == 1
+    return join_dimension(placed, bands, [*match, *names[:2]]).filter(inside).drop(*names)
 
 
 def _step(x: Column, size: float) -> Column:

@@ -48,13 +48,16 @@ def facility_counts(
     # Bounded by countries x codes from here on.
     country = Window.partitionBy("country_code")
     same_code = Window.partitionBy("country_code", *keys)
-    own = F.when(F.col("own_id").isNotNull(), F.expr("array_repeat(own_id, cast(n AS int))"))
+    # An entry for each country id and code, however many place rows carry it.
+    own = F.when(F.col("own_id").isNotNull(), F.struct("own_id", F.col("n").alias("times")))
     counts = (
-        per_code.withColumn("own_ids", F.flatten(F.collect_list(own).over(country)))
+        per_code.withColumn("own_ids", F.collect_list(own).over(country))
         .withColumn("first_of_code", F.row_number().over(same_code.orderBy(F.col("own_id").asc_nulls_first())))
         .withColumn("n", F.sum("n").over(same_code))
         .filter("first_of_code = 1")
-        .select("country_code", *keys, "n", F.explode("own_ids").alias("geonameid"))
+        .select("country_code", *keys, "n", F.inline("own_ids").alias("geonameid", "times"))
+        .select("country_code", *keys, "n", "geonameid", F.explode(F.expr("sequence(1L, times)")).alias("time"))
+        .drop("time")
     )
     columns = [c for c in ("feature_class", "feature_code") if c in matched.columns]
     described = join_dimension(counts, matched.select(*columns), keys)

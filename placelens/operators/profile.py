@@ -9,30 +9,30 @@ from placelens.functions.scaling import ratio
 from placelens.operators.selection import CLASS_AND_CODE_KEY
 from placelens.plans.joins import join_dimension
 
-# Own wording. kind 'max': the class is the country's largest; 'min': its smallest.
+# Own codes. kind 'max': the class is the country's largest; 'min': its smallest.
 ADVICE_ROWS = [
-    ("max", "A", "balance_states", "many administrative units: even out density to ease governing"),
-    ("max", "H", "use_hydropower", "rich in water: develop hydroelectricity"),
-    ("max", "L", "keep_parks", "many parks: good environment and property value to build on"),
-    ("max", "P", "invest_infrastructure", "many settlements: invest in infrastructure"),
-    ("max", "R", "use_transport", "strong transport: grow trade on it"),
-    ("max", "S", "invest_farming", "farmland potential: invest and export"),
-    ("max", "T", "invest_tourism", "many mountains: invest in tourism"),
-    ("max", "U", "use_marine", "undersea wealth: marine life and sports"),
-    ("min", "A", "spread_population", "uneven density: invest in less developed areas"),
-    ("min", "H", "store_water", "little water: build dams and storage"),
-    ("min", "L", "build_recreation", "few parks: build recreation areas"),
-    ("min", "P", "build_infrastructure", "few settlements: work on infrastructure"),
-    ("min", "R", "build_transport", "weak transport: build roads and railways"),
-    ("min", "S", "invest_farming", "farmland potential: invest and export"),
-    ("min", "T", "build_tourism", "few mountains: give tourism more attention"),
-    ("min", "U", "use_marine", "undersea wealth: marine life and sports"),
+    ("max", "A", "balance_states"),
+    ("max", "H", "use_hydropower"),
+    ("max", "L", "keep_parks"),
+    ("max", "P", "invest_infrastructure"),
+    ("max", "R", "use_transport"),
+    ("max", "S", "invest_farming"),
+    ("max", "T", "invest_tourism"),
+    ("max", "U", "use_marine"),
+    ("min", "A", "spread_population"),
+    ("min", "H", "store_water"),
+    ("min", "L", "build_recreation"),
+    ("min", "P", "build_infrastructure"),
+    ("min", "R", "build_transport"),
+    ("min", "S", "invest_farming"),
+    ("min", "T", "build_tourism"),
+    ("min", "U", "use_marine"),
 ]
 
 
 def advice_rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
-        ADVICE_ROWS, "kind STRING, feature_class STRING, advice STRING, advice_text STRING"
+        ADVICE_ROWS, "kind STRING, feature_class STRING, advice STRING"
     )
 
 

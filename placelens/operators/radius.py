@@ -23,8 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placelens.functions.geometry import Disc
+from placelens.plans.joins import free_names
 
 PLACE = ["area", "lon", "lat"]
+# Not null, NaN (which Spark orders above infinity) or infinite.
+FINITE = "abs(lon) < double('infinity') AND abs(lat) < double('infinity')"
 # Grid steps are a hair wider than the reach, and boxes within a hair of the rim are
 # opened, so rounding in cell numbers and box tests never decides a point.
 SLACK = 1e-9
@@ -42,22 +45,26 @@ def count_within(
 
     Both inputs need longitude and latitude, and country_code unless ``match_country`` is
     off. ``metric`` is ``polygon_deg`` (64-sided buffer, radius in degrees), ``circle_deg``
-    or ``km``. Every base row stays, with 0 where nothing is near.
+    or ``km``. Every base row stays, with 0 where nothing is near. Facilities and base rows with a
+    null, NaN or infinite coordinate are near nothing. All columns of ``base`` stay.
 
     ``splits`` says how finely each level divides the boxes of the one before it; add a
     level where a disc holds more than some ten thousand distinct facility locations.
     """
     disc = Disc(metric, radius)
-    base = base.withColumns(_place_columns(match_country))
+    tags = free_names([f"_{name}" for name in PLACE], base)
+    place = _place_columns(match_country)
+    base = base.withColumns({tag: place[name] for tag, name in zip(tags, PLACE)})
     counts = _counts_by_location(
-        base.select(*PLACE).filter("lon IS NOT NULL AND lat IS NOT NULL").distinct(),
+        base.select(*[F.col(tag).alias(name) for tag, name in zip(tags, PLACE)]).filter(FINITE).distinct(),
         _weighted_locations(facilities, match_country),
         disc,
         splits,
     )
+    counts = counts.withColumnsRenamed(dict(zip(PLACE, tags)))
     return (
-        base.join(counts, PLACE, "left")
-        .drop(*PLACE)
+        base.join(counts, tags, "left")
+        .drop(*tags)
         .withColumn("n_within", F.coalesce("n_within", F.lit(0).cast("bigint")))
     )
 
@@ -74,7 +81,7 @@ def _weighted_locations(facilities: DataFrame, match_country: bool) -> DataFrame
     place = [c.alias(name) for name, c in _place_columns(match_country).items()]
     return (
         facilities.select(*place)
-        .filter("area IS NOT NULL AND lon IS NOT NULL AND lat IS NOT NULL")
+        .filter(f"area IS NOT NULL AND {FINITE}")
         .groupBy(*PLACE)
         .agg(F.count("*").alias("weight"))
     )

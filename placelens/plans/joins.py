@@ -14,6 +14,17 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 16
 
 
+def free_names(wanted: list[str], *tables: DataFrame) -> list[str]:
+    """The wanted names, with underscores behind those that a table already has in any case."""
+    taken = {c.lower() for df in tables for c in df.columns}
+    found = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate: from file sizes, no job."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
@@ -80,8 +91,9 @@ def salted_join(
     flat = [c for c, t in facts.dtypes if not t.startswith(("map", "variant"))]
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in flat]), F.lit(salts)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    (name,) = free_names(["_salt"], facts, dimension)
     return (
-        facts.withColumn("_salt", salt)
-        .join(dimension.withColumn("_salt", copies), [*on, "_salt"], how)
-        .drop("_salt")
+        facts.withColumn(name, salt)
+        .join(dimension.withColumn(name, copies), [*on, name], how)
+        .drop(name)
     )

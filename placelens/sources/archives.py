@@ -30,7 +30,7 @@ def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _line_batches(archive: zipfile.ZipFile, member: str, stem: str) -> Iterator[pd.DataFrame]:
     """Stream one member: only a batch of lines is held unpacked."""
-    with io.TextIOWrapper(archive.open(member), encoding="utf-8", newline="\n") as text:
+    with io.TextIOWrapper(archive.open(member), encoding="utf-8", errors="replace", newline="\n") as text:
         lines: list[str] = []
         for line in text:
             lines.append(line.rstrip("\r\n"))
@@ -44,7 +44,8 @@ def _line_batches(archive: zipfile.ZipFile, member: str, stem: str) -> Iterator[
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """(archive, line) of the matching member of every zip under ``path``.
 
-    A zip cannot be split, so each is unpacked by one task; archives spread over tasks.
+    A zip cannot be split, so each is unpacked by one task; archives spread over tasks. An archive is read as
+    one value, so it must be under 2 GiB packed; unpacked lines stream. Bytes that are not UTF-8 become U+FFFD.
     """
     files = (
         spark.read.format("binaryFile")
@@ -56,11 +57,14 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_place_lines(lines: DataFrame, schema: str) -> DataFrame:
-    """Columns of tab-separated ``line`` values, with the same types as the file reader."""
+    """Columns of tab-separated ``line`` values, with the same types as the file reader.
+
+    As there, blank lines are skipped, and columns that a short line lacks are null.
+    """
     fields = [f.strip().rsplit(" ", 1) for f in schema.split(",")]
     parts = F.split("line", "\t")
     columns = [
-        F.expr("try_cast(nullif(_p[%d], '') AS %s)" % (i, kind)).alias(name)
+        F.expr("try_cast(nullif(get(_p, %d), '') AS %s)" % (i, kind)).alias(name)
         for i, (name, kind) in enumerate(fields)
     ]
-    return lines.withColumn("_p", parts).select("archive", *columns)
+    return lines.filter("line <> ''").withColumn("_p", parts).select("archive", *columns)

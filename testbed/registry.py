@@ -287,7 +287,7 @@ def class_advice(spark, sf):
         t.class_names(spark, sf),
         t.country_mapping(spark, sf),
         profile.advice_rules(spark),
-    ).drop("advice_text")
+    )
 
 
 @_query

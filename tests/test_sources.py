@@ -212,3 +212,9 @@ def test_warehouse_options(monkeypatch):
     assert (split["partitionColumn"], split["upperBound"], split["numPartitions"]) == ("id", "900", "9")
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "select 1", "id")
+
+
+def test_place_lines_that_are_short_or_blank(spark):
+    lines = spark.createDataFrame([("A", "1\tx"), ("A", ""), ("A", "2\ty\t3.5")], "archive string, line string")
+    out = parse_place_lines(lines, "id INT, name STRING, size DOUBLE")
+    assert sorted(map(tuple, out.collect())) == [("A", 1, "x", None), ("A", 2, "y", 3.5)]

@@ -260,3 +260,17 @@ def test_density_plan(spark):
     shapes = spark.createDataFrame([(1, "AA", [WORLD])], SHAPES)
     plan = plan_of(density_grid(points(spark, [(0.0, 1.0)]), shapes, size=5))
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+
+
+def test_radius_ignores_nan_and_keeps_all_columns(spark):
+    near = [(0.5 + i / 100, 0.5, "AA") for i in range(5)]
+    bad = [(float("nan"), 0.5, "AA"), (0.5, float("inf"), "AA"), (None, 0.5, "AA")]
+    schema = "longitude double, latitude double, country_code string"
+    facilities = spark.createDataFrame(near + bad, schema)
+    base = spark.createDataFrame([(0.5, 0.5, "AA"), *bad], schema).selectExpr(
+        "*", "'a' AS area", "'b' AS lon", "'c' AS lat", "'d' AS _area"
+    )
+    out = count_within(base, facilities, 3.0, "circle_deg")
+    assert out.columns == [*base.columns, "n_within"]
+    got = sorted((r.n_within, r.area, r.lon, r.lat, r._area) for r in out.collect())
+    assert got == [(n, "a", "b", "c", "d") for n in (0, 0, 0, 5)]
