@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from placelens.llm import shared as s
 
 FREQUENT = 256
+HUB_SHARE = 8
 MOST_IN_COMBINATIONS = 32
 FILTER_SEGMENTS = 512
 
@@ -182,6 +183,7 @@ def _keys(sets: DataFrame, percent: int) -> DataFrame:
             "own",
         )
     )
+    alone, pairs = (x.withColumn("combined", F.lit(y)) for x, y in ((alone, False), (pairs, True)))
     return alone.unionByName(pairs).withColumnRenamed("token", "key")
 
 
@@ -251,7 +253,9 @@ def jaccard_groups(
         .select("key", F.col("hub.c").alias("a"), F.col("hub.n").alias("na"), F.col("hub.own").alias("oa")),
         "hubs",
     )
-    member = keys.select("key", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("own").alias("ob"))
+    # Hubs only tie groups together, so an eighth of the many combinations will do; the rest below is exact.
+    proposed = keys.where(f"not combined or pmod(key, {HUB_SHARE}) = 0")
+    member = proposed.select("key", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("own").alias("ob"))
     stars = member.join(hubs, "key").where(F.col("a") != F.col("b")).where(_may_link(percent)).select("a", "b").distinct()
     first = s.materialize(_verified(stars, sets, percent), "first")
     tied = components(first)
