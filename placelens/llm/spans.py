@@ -1,8 +1,10 @@
 """Substring deduplication by sliding sentence spans.
 
 A text is cut into sentences after a stop before white space, and at line ends. Commas, colons and semicolons are stops as well: a
-passage that was put inside a sentence is then found but for a few words at its edges. From every
-sentence a span runs over the fewest sentences that are at least ``sentences`` and hold at least ``words``
+passage that was put inside a sentence is then found but for a few words at its edges. A sentence of more
+than ``LONG`` words is cut further, after about a fourth of its words: those whose hash together with the
+word before says so, and those equal to the word before. So equal passages are cut alike in whatever sentence
+they stand. From every sentence a span runs over the fewest sentences that are at least ``sentences`` and hold at least ``words``
 words; equal words give equal spans wherever they stand. Every span is hashed. The first place of a
 hash, by id and then place in the text, stays; sentences that any other place of it covers are
 removed, all at once. Bytes that stay are unchanged, and so is a text with nothing to remove.
@@ -27,6 +29,7 @@ from placelens.llm import shared as s
 
 SENTENCES, WORDS = 3, 20
 STOPS = b".!?,;:"
+LONG, CUT = 16, 4
 
 
 class _Sentences:
@@ -44,6 +47,12 @@ class _Sentences:
         final = np.r_[w.text[1:] != w.text[:-1], True]
         ends = stop | broken | final
         first = np.flatnonzero(np.r_[True, ends[:-1]])
+        length = np.diff(np.r_[first, w.count])
+        before = np.r_[np.zeros(1, np.uint64), w.hash[:-1]]
+        inner = np.arange(w.count) > np.repeat(first, length)
+        chosen = (w.hash == before) | (s.mix(w.hash ^ s.mix(before)) % np.uint64(CUT) == 0)
+        ends |= (np.repeat(length, length) > LONG) & inner & chosen
+        first = np.flatnonzero(np.r_[True, ends[:-1]])
         self.count = len(first)
         self.start = w.start[first]
         self.text = w.text[first]

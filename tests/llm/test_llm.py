@@ -269,12 +269,26 @@ def test_large_benchmarks_give_the_same(spark, monkeypatch):
 # 5. Spans.
 
 
+def cut_long(sentence):
+    """Sentences of over 16 words, cut by word hashes."""
+    if len(sentence) <= 16:
+        return [sentence]
+    hashes = shared.Words(pa.array([" ".join(sentence)]), lower=False).hash
+    pieces = [[sentence[0]]]
+    for i in range(1, len(sentence)):
+        pieces[-1].append(sentence[i])
+        pair = shared.mix(hashes[i : i + 1] ^ shared.mix(hashes[i - 1 : i]))[0]
+        if (sentence[i] == sentence[i - 1] or int(pair) % 4 == 0) and i + 1 < len(sentence):
+            pieces.append([])
+    return pieces
+
+
 def brute_spans(rows, sentences=3, least=20):
     """Rows (id, text) by id: the words kept, by sentences."""
     seen, out = {}, []
     for doc, text in rows:
         parts = [p for p in re.split(r"(?<=[.!?,;:])[\x20\x09-\x0D]+|\n", text or "") if WORD.search(p)]
-        own = [WORD.findall(p) for p in parts]
+        own = [piece for p in parts for piece in cut_long(WORD.findall(p))]
         gone = set()
         for i in range(len(own)):
             e = i
@@ -295,6 +309,23 @@ def test_spans_match_brute_force(spark):
     assert any(n for _, n in got.values())
 
 
+def test_spans_without_stops_and_within_other_sentences(spark):
+    r = random.Random(9)
+    word = lambda n: " ".join(f"q{r.randrange(10**6)}" for _ in range(n))
+    passage, other = word(60), word(200)
+    rows = [
+        (1, f"{word(30)} {passage} {word(30)}"),
+        (2, f"{word(7)}, {word(2)} {passage} {word(41)}. {word(9)}."),
+        (3, other),
+        (4, "so " * 500),
+        (5, f"{word(5)}. " + "so " * 300),
+    ]
+    out = dict(map(tuple, spans.drop_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"), removed_col="").collect()))
+    assert out[1] == rows[0][1] and out[3] == other
+    assert len(WORD.findall(out[2])) < 60 + 59 - 30
+    assert len(WORD.findall(out[4])) <= 40 and len(WORD.findall(out[5])) <= 30
+
+
 def test_spans_on_odd_rows(spark, odd, none):
     out = spans.drop_repeated_spans(odd, removed_col="n_chars")
     assert out.columns == [*odd.columns, "n_chars_"]
