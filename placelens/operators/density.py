@@ -89,8 +89,8 @@ def density_grid(
     )
     countries = outlines.select("country_code").distinct()
     shapes = kernel_shapes(located, size, cut).join(countries, "country_code", "left_semi")
-    # One narrow row per outlined country: no larger than the outlines.
-    placed = join_dimension(located, shapes, ["country_code"], small=is_small(outlines))
+    # One narrow row per outlined country, so what counts is how many those are, not how detailed.
+    placed = join_dimension(located, shapes, ["country_code"], small=is_small(countries))
     bins = _bin_moments(placed)
     cells = _sum_over_bins(bins, size)
     if not clip:
@@ -133,12 +133,17 @@ def _sum_over_bins(bins: DataFrame, size: int) -> DataFrame:
     height = 1 / (2 * F.pi() * F.col("l11") * F.col("l22") * F.col("n"))
     columns = across.withColumns({"x1": u1 - F.col("c1"), "rest": rest})
     columns = columns.withColumn("factor", F.exp(F.expr("-x1 * x1 / 2")) * height).select(
-        "country_code", "ix", "longitude", "rest", "c2", "low_y", "step_y", "l22",
+        "country_code", "ix", "bin2", "longitude", "rest", "c2", "low_y", "step_y", "l22",
         *[
             F.expr(f"factor * ({_horner('x1', [_name(i, j) for i in range(ORDER - j + 1)])})").alias(f"k{j}")
             for j in range(ORDER + 1)
         ],
     )
+    # What the row doesn't change is added up over a column's bins before rows multiply them.
+    kept = ["rest", "longitude", "low_y", "step_y", "l22", "c2"]
+    columns = columns.groupBy("country_code", "ix", "bin2").agg(
+        *[F.any_value(c).alias(c) for c in kept], *[F.sum(f"k{j}").alias(f"k{j}") for j in range(ORDER + 1)]
+    )
     cells = columns.withColumn("iy", F.explode(steps)).withColumn(
         "latitude", F.col("low_y") + F.col("iy") * F.col("step_y")
     )

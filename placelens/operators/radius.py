@@ -9,8 +9,9 @@ the rim cuts are opened: into smaller boxes, at last into single locations.
   is joined, so a pile of copies (such as places without coordinates, all at 0/0) costs
   one row.
 * The boxes inside one box form one row with a short array: at most splits^d of them,
-  whatever the data. A key is therefore unique on the facility side, and where a third
-  of the base points share one, adaptive execution splits them over tasks.
+  whatever the data. A key is therefore unique on the facility side. Base points that
+  share a hot key are joined in one task: adaptive execution splits the last join, not
+  those with the boxes.
 * All joins are equi-joins on box keys.
 """
 

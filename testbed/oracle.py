@@ -237,9 +237,9 @@ def _density(points: str, digits: int, columns: str) -> dict[str, str]:
             FROM moments WHERE n >= 3 AND vx * vy - cxy * cxy > 1e-12 * vx * vy""",
         "cells": """
             SELECT k.*, ix::INTEGER AS ix, iy::INTEGER AS iy,
-                   x0 - 3 * sqrt(kx) + ix * (x1 - x0 + 6 * sqrt(kx)) / 31.0::DOUBLE AS gx,
-                   y0 - 3 * sqrt(ky) + iy * (y1 - y0 + 6 * sqrt(ky)) / 31.0::DOUBLE AS gy
-            FROM kernels k, range(32) a(ix), range(32) b(iy)""",
+                   x0 - 3 * sqrt(kx) + ix * (x1 - x0 + 6 * sqrt(kx)) / 99.0::DOUBLE AS gx,
+                   y0 - 3 * sqrt(ky) + iy * (y1 - y0 + 6 * sqrt(ky)) / 99.0::DOUBLE AS gy
+            FROM kernels k, range(100) a(ix), range(100) b(iy)""",
         "clipped": """
             SELECT c.* FROM cells c JOIN shape_boxes s ON c.country_code = s.country_code
             WHERE gx > x AND gx < x + 10 AND gy > y AND gy < y + 10

@@ -22,7 +22,7 @@ DIGITS = 6
 BASE_URL = "http://example.org/dump/"
 COUNTRY_CODE = "19"
 COUNTRY, CLASS = "NATION_19", "P"
-DENSITY_CELLS = 32
+DENSITY_CELLS = 100
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
