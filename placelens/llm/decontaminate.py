@@ -2,8 +2,8 @@
 
 Words lose punctuation and case. A word with a digit, or a number word, becomes the placeholder for a number; a unit after a number
 that for a unit; a capitalised word inside a sentence that for a name. Windows of ``window``
-words of such templates are hash-joined between documents and benchmark items (a shorter item is one
-window). Windows need some plain words: at most half may be placeholders.
+words of such templates are hash-joined between documents and benchmark items. An item of fewer words is one window of that
+many; documents have windows of each such length as well. Windows need some plain words: at most half may be placeholders.
 
 Matches of a document with an item are put on diagonals (place in the document less place in the item): one
 occurrence of the item is one diagonal. There every placeholder value of the item must go to one value of the document,
@@ -71,16 +71,19 @@ def _kinds(w: s.Words) -> np.ndarray:
 class _Windows:
     """Windows of a batch's templates: text, first word and hash; and what fills each placeholder."""
 
-    def __init__(self, texts: pa.Array, window: int):
+    def __init__(self, texts: pa.Array, window: int, lengths: list[int] | None = None):
+        """Windows of all ``lengths``; if not given, of ``window`` words or a shorter text's own."""
         w = self.words = s.Words(texts, dropped=_DROPPED)
         self.kind = _kinds(w) if w.count else np.zeros(0, np.int64)
         self.window = window
         token = w.hash.copy()
         for kind, mark in _PLACEHOLDERS.items():
             token[self.kind == kind] = mark
-        last = np.maximum(w.per_text - window, 0)
-        at = np.flatnonzero(w.place <= last[w.text])
-        end = np.minimum(at + window, w.first[w.text[at] + 1])
+        own = np.minimum(w.per_text, window)[w.text]
+        sizes = [own] if lengths is None else [np.full(w.count, n) for n in lengths]
+        starts = [np.flatnonzero(w.place + n <= w.per_text[w.text]) for n in sizes]
+        at = np.concatenate(starts)
+        end = at + np.concatenate([n[a] for n, a in zip(sizes, starts)])
         held = np.r_[0, np.cumsum(self.kind > 0)]
         plain = 2 * (held[end] - held[at]) <= end - at
         self.at, self.end = at[plain], end[plain]
@@ -97,11 +100,13 @@ class _Windows:
         ]
 
 
-def _windows(table: DataFrame, id_col: str, text_col: str, window: int, wanted=None) -> DataFrame:
-    """id, place, total, hash and slots of the windows, of those in the broadcast ``wanted`` if given."""
+def _windows(
+    table: DataFrame, id_col: str, text_col: str, window: int, lengths: list[int] | None = None, wanted=None
+) -> DataFrame:
+    """id, place, total, length, hash and slots of the windows, of those in the broadcast ``wanted`` if given."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        found = _Windows(batch.column("text"), window)
+        found = _Windows(batch.column("text"), window, lengths)
         picked = np.arange(len(found.at))
         if wanted is not None:
             hashes = wanted.value
@@ -116,15 +121,16 @@ def _windows(table: DataFrame, id_col: str, text_col: str, window: int, wanted=N
                 batch.column("id").take(pa.array(text)),
                 pa.array(found.words.place[found.at[picked]]),
                 pa.array(total[text]),
+                pa.array((found.end - found.at)[picked]),
                 pa.array(s.signed(found.hash[picked])),
                 pa.array([found.slots(i) for i in picked], pa.list_(pa.string())),
             ],
-            ["id", "place", "total", "hash", "slots"],
+            ["id", "place", "total", "length", "hash", "slots"],
         )
 
     narrow = table.select(s.column(id_col).alias("id"), s.column(text_col).alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
-    return s.map_chunks(narrow, "text", run, f"id {kind}, place long, total long, hash long, slots array<string>")
+    return s.map_chunks(narrow, "text", run, f"id {kind}, place long, total long, length long, hash long, slots array<string>")
 
 
 def leaks(
@@ -140,11 +146,12 @@ def leaks(
     """Pairs of document and item: id, item, n_windows of the item, n_matched, and whether it is ``verbatim``."""
     items = s.materialize(_windows(benchmark, item_col, item_text_col, window), "items")
     distinct = items.select("hash").distinct()
+    lengths = sorted({window, *[r.length for r in items.select("length").distinct().collect()]})
     wanted = None
     if distinct.count() <= MOST_WINDOWS:
         hashes = np.sort(distinct.toPandas()["hash"].to_numpy(np.int64).view(np.uint64))
         wanted = docs.sparkSession.sparkContext.broadcast(hashes)
-    found = _windows(docs, id_col, text_col, window, wanted).drop("total")
+    found = _windows(docs, id_col, text_col, window, lengths, wanted).drop("total", "length")
     # A window that an item has twice, or that equal items share, is matched at each place.
     sides = items.select(
         "hash", F.col("id").alias("item"), F.col("place").alias("at"), "total", F.col("slots").alias("given")

@@ -259,6 +259,19 @@ def test_reparameterised_items_are_leaks(spark):
     assert decontaminate.leaks(docs, bench.limit(0)).count() == decontaminate.leaks(docs.limit(0), bench).count() == 0
 
 
+def leaked(spark, items, docs):
+    """Pairs (document, item) of leaks, by place in the lists of texts."""
+    tables = [spark.createDataFrame(list(enumerate(x)), f"{name} long, text string") for x, name in ((docs, "doc_id"), (items, "item_id"))]
+    return {(r.doc_id, r.item_id): r.verbatim for r in decontaminate.leaks(*tables).collect()}
+
+
+def test_items_shorter_than_a_window(spark):
+    items = ["too short item", "How many are 5 apples?", "solitary", "What is 12 times 7, please tell me now"]
+    docs = [f"{prose(7)} this is too short, item {prose(8)}", f"{prose(9)}. How many are 9 apples? {prose(10)}", "too short item", "Solitary",
+            f"{prose(11)} too short an item", prose(12)]
+    assert leaked(spark, items, docs) == {(0, 0): True, (1, 1): False, (2, 0): True, (3, 2): True}
+
+
 def test_large_benchmarks_give_the_same(spark, monkeypatch):
     docs, bench = documents(spark), spark.read.parquet(f"{SF}/benchmark.parquet")
     usual = sorted(map(tuple, decontaminate.leaks(docs, bench).collect()))
