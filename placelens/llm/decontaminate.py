@@ -4,6 +4,8 @@ Words lose punctuation and case. A word with a digit, or a number word, becomes
 that for a unit; a capitalised word inside a sentence that for a name. Windows of ``window``
 words of such templates are hash-joined between documents and benchmark items. An item of fewer words is one window of that
 many; documents have windows of each such length as well. Windows need some plain words: at most half may be placeholders.
+Names are known by case, which a copy may have changed, so each window is hashed a second time with names as plain
+words (and a unit at its start, as the number before it may not be the item's); a hit of either kind counts.
 
 Matches of a document with an item are put on diagonals (place in the document less place in the item): one
 occurrence of the item is one diagonal. There every placeholder value of the item must go to one value of the document,
@@ -76,34 +78,51 @@ class _Windows:
         w = self.words = s.Words(texts, dropped=_DROPPED)
         self.kind = _kinds(w) if w.count else np.zeros(0, np.int64)
         self.window = window
-        token = w.hash.copy()
+        typed = w.hash.copy()
         for kind, mark in _PLACEHOLDERS.items():
-            token[self.kind == kind] = mark
+            typed[self.kind == kind] = mark
+        nameless = np.where(self.kind == 3, w.hash, typed)
         own = np.minimum(w.per_text, window)[w.text]
         sizes = [own] if lengths is None else [np.full(w.count, n) for n in lengths]
         starts = [np.flatnonzero(w.place + n <= w.per_text[w.text]) for n in sizes]
         at = np.concatenate(starts)
         end = at + np.concatenate([n[a] for n, a in zip(sizes, starts)])
-        held = np.r_[0, np.cumsum(self.kind > 0)]
-        plain = 2 * (held[end] - held[at]) <= end - at
-        self.at, self.end = at[plain], end[plain]
+        names, held = np.r_[0, np.cumsum(self.kind == 3)], np.r_[0, np.cumsum(self.kind > 0)]
+        named, unit = names[end] - names[at], self.kind[at] == 2
+        filled = held[end] - held[at]
+        # With names as placeholders, and where that makes a difference, without.
+        first = 2 * filled <= end - at
+        second = (2 * (filled - named - unit) <= end - at) & ((named > 0) | unit | ~first)
+        n_first = int(first.sum())
+        self.at, self.end = np.r_[at[first], at[second]], np.r_[end[first], end[second]]
+        self.named = np.arange(len(self.at)) < n_first
         self.text = w.text[self.at]
-        padded = np.r_[token, np.full(window, s._PAD)]
-        self.hash = s.combine([np.where(self.at + j < self.end, padded[self.at + j], s._PAD) for j in range(window)])
-
-    def slots(self, i: int) -> list[str]:
-        w = self.words
+        self.counted = np.r_[np.ones(n_first, bool), ~first[second]]  # each place once
+        unnamed = self._hash(nameless, self.at[n_first:], self.end[n_first:], w.hash)
+        self.hash = np.r_[self._hash(typed, self.at[:n_first], self.end[:n_first]), unnamed]
+
+    def _hash(self, token: np.ndarray, at: np.ndarray, end: np.ndarray, units: np.ndarray | None = None) -> np.ndarray:
+        """Hashes of windows; ``units`` are the tokens of units at their start."""
+        padded = np.r_[token, np.full(self.window, s._PAD)]
+        parts = [np.where(at + j < end, padded[at + j], s._PAD) for j in range(self.window)]
+        if units is not None:
+            parts[0] = np.where(self.kind[at] == 2, units[at], parts[0])
+        return s.combine(parts)
+
+    def values(self, i: int, held: bool) -> list[str]:
+        """What fills the placeholders of a window, or else (not ``held``) the numbers, units and names that are plain in it."""
+        w, named, at = self.words, self.named[i], self.at[i]
         return [
             w.data[w.start[j] : w.end[j]].tobytes().decode(errors="replace").lower()
-            for j in range(self.at[i], self.end[i])
-            if self.kind[j]
+            for j in range(at, self.end[i])
+            if self.kind[j] and held == (named or self.kind[j] == 1 or (self.kind[j] == 2 and j > at))
         ]
 
 
 def _windows(
     table: DataFrame, id_col: str, text_col: str, window: int, lengths: list[int] | None = None, wanted=None
 ) -> DataFrame:
-    """id, place, total, length, hash and slots of the windows, of those in the broadcast ``wanted`` if given."""
+    """id, place, total, length, hash, slots and other values (``fixed``) of the windows, of those in the broadcast ``wanted`` if given."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         found = _Windows(batch.column("text"), window, lengths)
@@ -114,7 +133,7 @@ def _windows(
             picked = np.flatnonzero(hashes[near] == found.hash) if len(hashes) else picked[:0]
         if not len(picked):
             return None
-        total = np.bincount(found.text, minlength=batch.num_rows)
+        total = np.bincount(found.text[found.counted], minlength=batch.num_rows)
         text = found.text[picked]
         return pa.RecordBatch.from_arrays(
             [
@@ -123,14 +142,15 @@ def _windows(
                 pa.array(total[text]),
                 pa.array((found.end - found.at)[picked]),
                 pa.array(s.signed(found.hash[picked])),
-                pa.array([found.slots(i) for i in picked], pa.list_(pa.string())),
+                pa.array([found.values(i, True) for i in picked], pa.list_(pa.string())),
+                pa.array([found.values(i, False) for i in picked], pa.list_(pa.string())),
             ],
-            ["id", "place", "total", "length", "hash", "slots"],
+            ["id", "place", "total", "length", "hash", "slots", "fixed"],
         )
 
     narrow = table.select(s.column(id_col).alias("id"), s.column(text_col).alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
-    return s.map_chunks(narrow, "text", run, f"id {kind}, place long, total long, length long, hash long, slots array<string>")
+    return s.map_chunks(narrow, "text", run, f"id {kind}, place long, total long, length long, hash long, slots array<string>, fixed array<string>")
 
 
 def leaks(
@@ -151,13 +171,20 @@ def leaks(
     if distinct.count() <= MOST_WINDOWS:
         hashes = np.sort(distinct.toPandas()["hash"].to_numpy(np.int64).view(np.uint64))
         wanted = docs.sparkSession.sparkContext.broadcast(hashes)
-    found = _windows(docs, id_col, text_col, window, lengths, wanted).drop("total", "length")
+    found = _windows(docs, id_col, text_col, window, lengths, wanted).drop("total", "length", "fixed")
     # A window that an item has twice, or that equal items share, is matched at each place.
     sides = items.select(
-        "hash", F.col("id").alias("item"), F.col("place").alias("at"), "total", F.col("slots").alias("given")
+        "hash", F.col("id").alias("item"), F.col("place").alias("at"), "total", F.col("slots").alias("given"), "fixed"
     )
+    # A value that is a plain word in the window is equal in the document.
+    same = F.transform("fixed", lambda v: F.struct(v.alias("given"), v.alias("slots")))
     matched = found.join(sides, "hash").select(
-        "id", "item", "at", "total", (F.col("place") - F.col("at")).alias("diagonal"), F.arrays_zip("given", "slots").alias("values")
+        "id",
+        "item",
+        "at",
+        "total",
+        (F.col("place") - F.col("at")).alias("diagonal"),
+        F.concat(F.arrays_zip("given", "slots"), same).alias("values"),
     )
     occurrences = (
         matched.groupBy("id", "item", "diagonal")

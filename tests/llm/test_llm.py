@@ -272,6 +272,16 @@ def test_items_shorter_than_a_window(spark):
     assert leaked(spark, items, docs) == {(0, 0): True, (1, 1): False, (2, 0): True, (3, 2): True}
 
 
+def test_items_in_other_case(spark):
+    items = ["On Monday morning Anna buys 12 apples and 7 pears for 30 dollars, then Anna walks 5 km home with 12 apples.",
+             "Painters often keep their brushes in clear water"]
+    docs = [items[0].upper(), f"{prose(13)} {items[0].lower()} {prose(14)}", items[0].upper().replace("12", "99"), f"so said {items[1]} {prose(15)}",
+            items[0].upper().replace("12 APPLES AND", "99 APPLES AND"), items[0].replace("Anna", "Otto", 1).replace("12", "13", 1).replace("7", "8")]
+    got = leaked(spark, items, docs)
+    assert {k: got.get(k) for k in ((0, 0), (1, 0), (2, 0), (3, 1))} == {(0, 0): True, (1, 0): True, (2, 0): False, (3, 1): True}
+    assert (5, 0) not in got
+
+
 def test_large_benchmarks_give_the_same(spark, monkeypatch):
     docs, bench = documents(spark), spark.read.parquet(f"{SF}/benchmark.parquet")
     usual = sorted(map(tuple, decontaminate.leaks(docs, bench).collect()))
