@@ -3,14 +3,15 @@
 Words lose punctuation and case. A word with a digit, or a number word, becomes the placeholder for a number; a unit after a number
 that for a unit; a capitalised word inside a sentence that for a name. Windows of ``window``
 words of such templates are hash-joined between documents and benchmark items. An item of fewer words is one window of that
-many; documents have windows of each such length as well. Windows need some plain words: at most half may be placeholders.
+many; documents have windows of each such length as well. Templates need some plain words: at most half may be placeholders.
 Names are known by case, which a copy may have changed, so each window is hashed a second time with names as plain
-words (and a unit at its start, as the number before it may not be the item's); a hit of either kind counts.
+words (and a unit at its start, as the number before it may not be the item's); a hit of either kind counts. Where more than half would still be
+placeholders, the second hash is that of the words themselves, so arithmetic and lists match verbatim.
 
 Matches of a document with an item are put on diagonals (place in the document less place in the item): one
 occurrence of the item is one diagonal. There every placeholder value of the item must go to one value of the document,
 or the occurrence is no re-parameterised question. The document is a leak of the item if consistent
-occurrences cover at least ``coverage`` of the item's windows.
+occurrences cover at least ``coverage`` of the item's windows, or of those that are templates.
 
 The windows of all documents don't leave their task but for hits: hashes of the benchmark's windows, if at
 most ``MOST_WINDOWS`` (64 MiB), are broadcast as a filter before the join; a larger benchmark is joined without it,
@@ -90,15 +91,19 @@ class _Windows:
         names, held = np.r_[0, np.cumsum(self.kind == 3)], np.r_[0, np.cumsum(self.kind > 0)]
         named, unit = names[end] - names[at], self.kind[at] == 2
         filled = held[end] - held[at]
-        # With names as placeholders, and where that makes a difference, without.
+        # With names as placeholders, and where that makes a difference, without, or without any.
         first = 2 * filled <= end - at
-        second = (2 * (filled - named - unit) <= end - at) & ((named > 0) | unit | ~first)
+        second = (named > 0) | unit | ~first
+        real = (2 * (filled - named - unit) > end - at)[second]
         n_first = int(first.sum())
         self.at, self.end = np.r_[at[first], at[second]], np.r_[end[first], end[second]]
         self.named = np.arange(len(self.at)) < n_first
+        self.real = np.r_[np.zeros(n_first, bool), real]
         self.text = w.text[self.at]
-        self.counted = np.r_[np.ones(n_first, bool), ~first[second]]  # each place once
+        self.template = np.r_[np.ones(n_first, bool), first[second]]
+        self.counted = self.named | ~self.template  # each place once
         unnamed = self._hash(nameless, self.at[n_first:], self.end[n_first:], w.hash)
+        unnamed[real] = self._hash(w.hash, self.at[self.real], self.end[self.real])
         self.hash = np.r_[self._hash(typed, self.at[:n_first], self.end[:n_first]), unnamed]
 
     def _hash(self, token: np.ndarray, at: np.ndarray, end: np.ndarray, units: np.ndarray | None = None) -> np.ndarray:
@@ -112,17 +117,18 @@ class _Windows:
     def values(self, i: int, held: bool) -> list[str]:
         """What fills the placeholders of a window, or else (not ``held``) the numbers, units and names that are plain in it."""
         w, named, at = self.words, self.named[i], self.at[i]
+        some = not self.real[i]
         return [
             w.data[w.start[j] : w.end[j]].tobytes().decode(errors="replace").lower()
             for j in range(at, self.end[i])
-            if self.kind[j] and held == (named or self.kind[j] == 1 or (self.kind[j] == 2 and j > at))
+            if self.kind[j] and held == (some and (named or self.kind[j] == 1 or (self.kind[j] == 2 and j > at)))
         ]
 
 
 def _windows(
     table: DataFrame, id_col: str, text_col: str, window: int, lengths: list[int] | None = None, wanted=None
 ) -> DataFrame:
-    """id, place, total, length, hash, slots and other values (``fixed``) of the windows, of those in the broadcast ``wanted`` if given."""
+    """id, place, total, templates, template, length, hash, slots and other values (``fixed``) of the windows, of those in the broadcast ``wanted`` if given."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         found = _Windows(batch.column("text"), window, lengths)
@@ -134,23 +140,27 @@ def _windows(
         if not len(picked):
             return None
         total = np.bincount(found.text[found.counted], minlength=batch.num_rows)
+        templates = np.bincount(found.text[found.named], minlength=batch.num_rows)
         text = found.text[picked]
         return pa.RecordBatch.from_arrays(
             [
                 batch.column("id").take(pa.array(text)),
                 pa.array(found.words.place[found.at[picked]]),
                 pa.array(total[text]),
+                pa.array(templates[text]),
+                pa.array(found.template[picked]),
                 pa.array((found.end - found.at)[picked]),
                 pa.array(s.signed(found.hash[picked])),
                 pa.array([found.values(i, True) for i in picked], pa.list_(pa.string())),
                 pa.array([found.values(i, False) for i in picked], pa.list_(pa.string())),
             ],
-            ["id", "place", "total", "length", "hash", "slots", "fixed"],
+            ["id", "place", "total", "templates", "template", "length", "hash", "slots", "fixed"],
         )
 
     narrow = table.select(s.column(id_col).alias("id"), s.column(text_col).alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
-    return s.map_chunks(narrow, "text", run, f"id {kind}, place long, total long, length long, hash long, slots array<string>, fixed array<string>")
+    schema = f"id {kind}, place long, total long, templates long, template boolean, length long, hash long"
+    return s.map_chunks(narrow, "text", run, f"{schema}, slots array<string>, fixed array<string>")
 
 
 def leaks(
@@ -171,10 +181,10 @@ def leaks(
     if distinct.count() <= MOST_WINDOWS:
         hashes = np.sort(distinct.toPandas()["hash"].to_numpy(np.int64).view(np.uint64))
         wanted = docs.sparkSession.sparkContext.broadcast(hashes)
-    found = _windows(docs, id_col, text_col, window, lengths, wanted).drop("total", "length", "fixed")
+    found = _windows(docs, id_col, text_col, window, lengths, wanted).select("id", "place", "hash", "slots")
     # A window that an item has twice, or that equal items share, is matched at each place.
     sides = items.select(
-        "hash", F.col("id").alias("item"), F.col("place").alias("at"), "total", F.col("slots").alias("given"), "fixed"
+        "hash", F.col("id").alias("item"), F.col("place").alias("at"), "total", "templates", "template", F.col("slots").alias("given"), "fixed"
     )
     # A value that is a plain word in the window is equal in the document.
     same = F.transform("fixed", lambda v: F.struct(v.alias("given"), v.alias("slots")))
@@ -183,6 +193,8 @@ def leaks(
         "item",
         "at",
         "total",
+        "templates",
+        "template",
         (F.col("place") - F.col("at")).alias("diagonal"),
         F.concat(F.arrays_zip("given", "slots"), same).alias("values"),
     )
@@ -190,17 +202,24 @@ def leaks(
         matched.groupBy("id", "item", "diagonal")
         .agg(
             F.max("total").alias("total"),
+            F.max("templates").alias("templates"),
             F.collect_set("at").alias("at"),
+            F.collect_set(F.when(F.col("template"), F.col("at"))).alias("template_at"),
             F.array_distinct(F.flatten(F.collect_set("values"))).alias("values"),
         )
         .where(F.size(F.array_distinct("values.given")) == F.size("values"))
     )
     pairs = occurrences.groupBy("id", "item").agg(
         F.max("total").alias("n_windows"),
+        F.max("templates").alias("templates"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("template_at")))).alias("n_templates"),
         F.size(F.array_distinct(F.flatten(F.collect_set("at")))).cast("long").alias("n_matched"),
         F.every(F.forall("values", lambda v: v["given"] == v["slots"])).alias("verbatim"),
     )
-    return pairs.where(F.col("n_matched") >= coverage * F.col("n_windows")).select(
+    most = (F.col("n_matched") >= coverage * F.col("n_windows")) | (
+        (F.col("templates") > 0) & (F.col("n_templates") >= coverage * F.col("templates"))
+    )
+    return pairs.where(most).select(
         F.col("id").alias(id_col), F.col("item").alias(item_col), "n_windows", "n_matched", "verbatim"
     )
 

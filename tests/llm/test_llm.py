@@ -282,6 +282,15 @@ def test_items_in_other_case(spark):
     assert (5, 0) not in got
 
 
+def test_items_of_numbers_and_names(spark):
+    items = ["What is 12 * 7 + 45 - 3 * 8 + 19?", "Guests: Anna Otto Emma Paul Rosa Karl Lena Hugo Ida", "42",
+             "The red boat sails off with 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 21 22"]
+    docs = [f"{prose(16)}. {items[0]} {prose(17)}", f"so {items[1].upper()} {prose(18)}", "she said 42 again", "she said 43 again",
+            items[0].replace("19", "20").replace("45", "46").replace("12", "13").replace("7", "9"),
+            "The red boat sails off with 33 44 55 66 77 88 99 100"]
+    assert leaked(spark, items, docs) == {(0, 0): True, (1, 1): True, (2, 2): True, (5, 3): False}
+
+
 def test_large_benchmarks_give_the_same(spark, monkeypatch):
     docs, bench = documents(spark), spark.read.parquet(f"{SF}/benchmark.parquet")
     usual = sorted(map(tuple, decontaminate.leaks(docs, bench).collect()))
