@@ -9,9 +9,10 @@ words (and a unit at its start, as the number before it may not be the item's);
 placeholders, the second hash is that of the words themselves, so arithmetic and lists match verbatim.
 
 Matches of a document with an item are put on diagonals (place in the document less place in the item): one
-occurrence of the item is one diagonal. There every placeholder value of the item must go to one value of the document,
-or the occurrence is no re-parameterised question. The document is a leak of the item if consistent
-occurrences cover at least ``coverage`` of the item's windows, or of those that are templates.
+occurrence of the item is one diagonal. There a window with the item's own values matches by itself; in
+the others every placeholder value of the item must go to one value of the document, or they are no re-parameterised
+question and don't count. The document is a leak of the item if the windows that count cover at least ``coverage`` of
+the item's windows, or of those that are templates.
 
 The windows of all documents don't leave their task but for hits: hashes of the benchmark's windows, if at
 most ``MOST_WINDOWS`` (64 MiB), are broadcast as a filter before the join; a larger benchmark is joined without it,
@@ -198,23 +199,30 @@ def leaks(
         (F.col("place") - F.col("at")).alias("diagonal"),
         F.concat(F.arrays_zip("given", "slots"), same).alias("values"),
     )
+    own = F.forall("values", lambda v: v["given"] == v["slots"])
+    matched = matched.withColumn("own", own)
+    at, templates = F.col("at"), F.when(F.col("template"), F.col("at"))
     occurrences = (
         matched.groupBy("id", "item", "diagonal")
         .agg(
             F.max("total").alias("total"),
             F.max("templates").alias("templates"),
-            F.collect_set("at").alias("at"),
-            F.collect_set(F.when(F.col("template"), F.col("at"))).alias("template_at"),
-            F.array_distinct(F.flatten(F.collect_set("values"))).alias("values"),
+            F.every("own").alias("own"),
+            F.collect_set(at).alias("at"),
+            F.collect_set(templates).alias("template_at"),
+            F.collect_set(F.when(F.col("own"), at)).alias("own_at"),
+            F.collect_set(F.when(F.col("own"), templates)).alias("own_template_at"),
+            F.array_distinct(F.flatten(F.collect_set(F.when(~F.col("own"), F.col("values"))))).alias("values"),
         )
-        .where(F.size(F.array_distinct("values.given")) == F.size("values"))
+        .withColumn("consistent", F.size(F.array_distinct("values.given")) == F.size("values"))
     )
+    counted = lambda all_, own_: F.when(F.col("consistent"), F.col(all_)).otherwise(F.col(own_))
     pairs = occurrences.groupBy("id", "item").agg(
         F.max("total").alias("n_windows"),
         F.max("templates").alias("templates"),
-        F.size(F.array_distinct(F.flatten(F.collect_set("template_at")))).alias("n_templates"),
-        F.size(F.array_distinct(F.flatten(F.collect_set("at")))).cast("long").alias("n_matched"),
-        F.every(F.forall("values", lambda v: v["given"] == v["slots"])).alias("verbatim"),
+        F.size(F.array_distinct(F.flatten(F.collect_set(counted("template_at", "own_template_at"))))).alias("n_templates"),
+        F.size(F.array_distinct(F.flatten(F.collect_set(counted("at", "own_at"))))).cast("long").alias("n_matched"),
+        F.coalesce(F.every(F.when(F.col("consistent"), F.col("own"))), F.lit(False)).alias("verbatim"),
     )
     most = (F.col("n_matched") >= coverage * F.col("n_windows")) | (
         (F.col("templates") > 0) & (F.col("n_templates") >= coverage * F.col("templates"))

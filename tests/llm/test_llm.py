@@ -291,6 +291,12 @@ def test_items_of_numbers_and_names(spark):
     assert leaked(spark, items, docs) == {(0, 0): True, (1, 1): True, (2, 2): True, (5, 3): False}
 
 
+def test_verbatim_but_for_one_value(spark):
+    item = "Anna had 12 red and green apples in a very old basket by the door of her small white house, and so Otto took all 12 of them."
+    docs = [item.replace("took all 12", "took all 21"), item.replace("12", "15"), item.replace("had 12", "had 15").replace("Otto", "Anna"), prose(19)]
+    assert leaked(spark, [item], docs) == {(0, 0): False, (1, 0): False, (2, 0): False}
+
+
 def test_large_benchmarks_give_the_same(spark, monkeypatch):
     docs, bench = documents(spark), spark.read.parquet(f"{SF}/benchmark.parquet")
     usual = sorted(map(tuple, decontaminate.leaks(docs, bench).collect()))
