@@ -6,9 +6,9 @@ url, host and path, depth of path and host, share of digits, entropy of the char
 and statistics of the host's suffixes (last part, last two, last part with the path's first folder): how many labelled urls have it, and
 which smoothed share of them is to be blocked.
 
-All features are SQL expressions and the trees are Spark ML's; no Python runs on executors. The trees
-and the suffix statistics are fitted on at most ``sample`` labelled urls, those with the smallest hash, so the
-tables of suffixes have at most that many rows and may be broadcast.
+All features are SQL expressions and the trees are Spark ML's; no Python runs on executors. The statistics are
+counted over all labelled urls, by part with partial sums, and joined by part; a kind of at most ``MOST_PARTS`` parts
+is broadcast. The trees alone are fitted on at most ``sample`` labelled urls, those with the smallest hash.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, fits no rule and is judged by the trees as
 an empty text; without labels, or with labels of one kind, every url is allowed or gets that kind; repeated rows get
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from placelens.llm.shared import column, materialize
 
 SAMPLE = 20_000
+MOST_PARTS = 20_000
 TREES, DEPTH = 12, 4
 PRIOR = 20.0
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -91,18 +92,20 @@ def suffixes(host: Column, path: Column) -> dict[str, Column]:
 class UrlModel:
     """Fitted trees with the suffix statistics that they read."""
 
-    def __init__(self, statistics: DataFrame, overall: float, trees: GBTClassificationModel | None):
-        self.statistics, self.overall, self.trees = statistics, overall, trees
+    def __init__(self, statistics: DataFrame, sizes: dict[str, int], overall: float, trees: GBTClassificationModel | None):
+        self.statistics, self.sizes, self.overall, self.trees = statistics, sizes, overall, trees
 
     def featured(self, urls: DataFrame) -> DataFrame:
         """``urls`` (url, host, path and more) with all features."""
         out = urls.select("*", *[v.alias(k) for k, v in lexical(F.col("url"), F.col("host"), F.col("path")).items()])
         for name, part in suffixes(F.col("host"), F.col("path")).items():
+            share = (F.col("bad") + PRIOR * self.overall) / (F.col("n") + PRIOR)
             side = self.statistics.where(F.col("kind") == name).select(
-                F.col("part").alias("_part"), F.col("n").alias(f"{name}_n"), F.col("share").alias(f"{name}_share")
+                F.col("part").alias("_part"), F.col("n").cast("double").alias(f"{name}_n"), share.alias(f"{name}_share")
             )
-            # At most one row for each sampled url.
-            out = out.join(F.broadcast(side), part == F.col("_part"), "left").drop("_part")
+            if self.sizes.get(name, 0) <= MOST_PARTS:
+                side = F.broadcast(side)
+            out = out.join(side, part == F.col("_part"), "left").drop("_part")
         return out.fillna(0.0, ["suffix_n", "domain_n", "folder_n"]).fillna(
             self.overall, ["suffix_share", "domain_share", "folder_share"]
         )
@@ -119,24 +122,19 @@ class UrlModel:
 
 def fit(labelled: DataFrame, sample: int = SAMPLE, trees: int = TREES, depth: int = DEPTH) -> UrlModel:
     """From url, host, path and ``blocked`` (0 or 1)."""
-    picked = materialize(
-        labelled.where("blocked is not null").select("url", "host", "path", "blocked")
-        .orderBy(F.xxhash64("url"), "url", "blocked").limit(sample),
-        "labelled",
-    )
-    n, bad = picked.agg(F.count("*"), F.coalesce(F.sum("blocked"), F.lit(0))).first()
-    overall = bad / n if n else 0.0
-    kinds = [
-        picked.select(F.lit(name).alias("kind"), part.alias("part"), "blocked")
-        for name, part in suffixes(F.col("host"), F.col("path")).items()
-    ]
+    labelled = labelled.where("blocked is not null").select("url", "host", "path", "blocked")
+    parts = [F.struct(F.lit(k).alias("kind"), v.alias("part")) for k, v in suffixes(F.col("host"), F.col("path")).items()]
     statistics = materialize(
-        kinds[0].unionByName(kinds[1]).unionByName(kinds[2]).groupBy("kind", "part").agg(
-            F.count("*").cast("double").alias("n"), ((F.sum("blocked") + PRIOR * overall) / (F.count("*") + PRIOR)).alias("share")
+        labelled.select(F.explode(F.array(*parts)).alias("p"), "blocked").groupBy("p.kind", "p.part").agg(
+            F.count("*").alias("n"), F.sum("blocked").alias("bad")
         ),
         "suffixes",
     )
-    model = UrlModel(statistics, overall, None)
+    sums = statistics.groupBy("kind").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum("bad").alias("bad")).collect()
+    overall = sums[0].bad / sums[0].n if sums else 0.0
+    model = UrlModel(statistics, {r.kind: r.parts for r in sums}, overall, None)
+    picked = materialize(labelled.orderBy(F.xxhash64("url"), "url", "blocked").limit(sample), "labelled")
+    n, bad = picked.agg(F.count("*"), F.coalesce(F.sum("blocked"), F.lit(0))).first()
     if 0 < bad < n:
         rows = VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(model.featured(picked))
         rows = materialize(rows.select("_features", F.col("blocked").cast("double").alias("label")), "features").coalesce(2)

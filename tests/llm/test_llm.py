@@ -238,6 +238,22 @@ def test_trees_on_held_out_urls(spark):
     assert "Python" not in urls.judge(pages, RULES, model)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_url_statistics_are_of_all_labels(spark, monkeypatch):
+    rows = [(f"http://a{i % 50}.net/f{i % 3}/{i}", f"a{i % 50}.net", f"/f{i % 3}/{i}", int(i % 50 < 20)) for i in range(400)]
+    labelled = spark.createDataFrame(rows, "url string, host string, path string, blocked int")
+    model = urls.fit(labelled, sample=20)
+    got = model.featured(labelled).select("url", "suffix_n", "suffix_share", "domain_n", "domain_share", "folder_n", "folder_share")
+    seen = {r.url: r for r in got.collect()}
+    assert len(seen) == 400 and {(r.suffix_n, r.domain_n) for r in seen.values()} == {(400.0, 8.0)}
+    for url, host, path, blocked in rows:
+        folder = [b for _, _, p, b in rows if p.split("/")[1] == path.split("/")[1]]
+        assert seen[url].folder_n == len(folder)
+        assert math.isclose(seen[url].folder_share, (sum(folder) + 20 * 0.4) / (len(folder) + 20))
+        assert math.isclose(seen[url].domain_share, (8 * blocked + 20 * 0.4) / 28)
+    monkeypatch.setattr(urls, "MOST_PARTS", 0)
+    assert sorted(map(tuple, model.featured(labelled).select(got.columns).collect())) == sorted(map(tuple, seen.values()))
+
+
 # 4. Decontamination.
 
 
