@@ -6,11 +6,9 @@ n-gram of level q is put into a Bloom filter q times, as (n-gram, 1) .. (n-gram,
 (n-gram, 1), (n-gram, 2), .. are probed until one is missing; so a false positive rarely adds
 more than one level.
 
-Size bound: only n-grams that are at least ``floor`` of all tokens are kept. At most 1 / floor
-n-grams of an order can be, at most 1 / (floor * base ** i) reach level i + 1, hence at most
-base / (base - 1) / floor entries an order, whatever the corpus. With the defaults that is 44 MiB
-an order at most (12 bits an entry). In a corpus of less than 1 / floor tokens every n-gram is kept. An n-gram can only
-be that frequent if the n-grams inside it are, so the next order counts only those; counting is
+Every n-gram of the training texts is kept, so the filters grow with the corpus. They are tables of segments; at most
+``MOST_SEGMENTS`` (128 MiB) are broadcast at a time. A larger model is probed part by part: each pass over the texts
+reads the levels of the n-grams whose segments are at hand and keeps a byte a token and order. Counting is
 over all training texts, by key, with partial sums.
 
 P_n(w | h) = (1 - weight) P_{n-1}(w | h') + weight * c(h w) / c(h) where h is in the filter, with the
@@ -35,7 +33,7 @@ from pyspark.sql import functions as F
 
 from placelens.llm import shared as s
 
-FLOOR = 2.0**-23
+MOST_SEGMENTS = 1 << 10
 EXACT = 2.0**-19
 BASE = 1.4
 WEIGHTS = (0.15, 0.4)
@@ -69,44 +67,69 @@ class Model:
     scale: float
     thresholds: np.ndarray
     weights: tuple[float, ...]
-    filters: list[np.ndarray] = field(default_factory=list)
+    edge: int = 0
+    segments: list[int] = field(default_factory=list)
+    filters: list[np.ndarray] = field(default_factory=list)  # empty if larger than one broadcast
+    tables: list[DataFrame] = field(default_factory=list)
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"tables": []}
 
     @property
     def whole(self) -> float:
         return self.tokens + 0.1 * (self.types + 1)
 
-    def levels(self, order: int, keys: np.ndarray) -> np.ndarray:
-        """Levels of distinct keys, by probes until one is missing."""
+    def levels(self, order: int, keys: np.ndarray, bits: np.ndarray | None = None, first: int = 0) -> np.ndarray:
+        """Levels of distinct keys, by probes until one is missing; ``bits`` from segment ``first`` on hold the keys' segments."""
+        bits = self.filters[order - 1] if bits is None else bits
         level = np.zeros(len(keys), np.int64)
         alive = np.arange(len(keys))
         for i in range(1, len(self.thresholds)):
             if not len(alive):
                 break
-            alive = alive[s.bloom_probe(self.filters[order - 1], keys[alive], i)]
+            alive = alive[s.bloom_probe(bits, keys[alive], i, first, self.segments[order - 1])]
             level[alive] = i
         return level
 
-    def log_probabilities(self, words: s.Words) -> tuple[np.ndarray, np.ndarray]:
-        """(text, log10 probability) of every token."""
+    def parts(self) -> list[list[tuple[int, int, int]]]:
+        """(order, first segment, last) of what is broadcast at a time."""
+        out, room = [[]], MOST_SEGMENTS
+        for order, count in enumerate(self.segments, 1):
+            first = 0
+            while first < count:
+                if not room:
+                    out.append([])
+                    room = MOST_SEGMENTS
+                last = min(count, first + room)
+                out[-1].append((order, first, last))
+                room -= last - first
+                first = last
+        return out
+
+    def log_probabilities(self, words: s.Words, levels: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(text, log10 probability) of every token; levels: of every token by order, if read already."""
         hashes, text, place = _sequence(words)
         low = np.r_[0, self.thresholds[:-1]].astype(float)
         high = np.r_[0, self.thresholds[1:] - 1].astype(float)
         middle = np.sqrt(low * high)
         before = None
         probability = np.zeros(0)
-        for n in range(1, len(self.filters) + 1):
+        for n in range(1, len(self.segments) + 1):
             # An n-gram can only be in the filter if the two n-grams inside it are.
             asked = np.ones(len(hashes), bool)
             if n > 1:
                 asked = (before > 0) & (np.r_[False, before[:-1] > 0] | (place == 0))
                 asked &= (place > 0) | (n == 2)
-            keys, back = np.unique(_ngrams(hashes, place, n)[asked], return_inverse=True)
             level = np.zeros(len(hashes), np.int64)
-            level[asked] = self.levels(n, keys)[back]
+            if levels is not None:
+                level[asked] = levels[n - 1][asked]
+            else:
+                keys, back = np.unique(_ngrams(hashes, place, n)[asked], return_inverse=True)
+                level[asked] = self.levels(n, keys)[back]
             if n == 1:
                 known = (middle[level] * self.scale + 0.1) / self.whole
                 probability = np.where(level > 0, known, self.rare_share)
-                edge = self.levels(1, _START)[0]
+                edge = self.edge
             else:
                 # The history is the shorter n-gram that ends one token before.
                 history = np.r_[0, before[:-1]]
@@ -119,17 +142,13 @@ class Model:
         return text, np.log10(probability)
 
 
-def _counted(training: DataFrame, n: int, kept: object | None) -> DataFrame:
-    """(key, n) of n-grams in the training texts, of those whose two parts the filter ``kept`` holds."""
+def _counted(training: DataFrame, n: int) -> DataFrame:
+    """(key, n) of the n-grams in the training texts."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes, _, place = _sequence(s.Words(batch.column("text")))
-        keys = _ngrams(hashes, place, n)
-        if kept is not None:
-            parts, back = np.unique(_ngrams(hashes, place, n - 1), return_inverse=True)
-            inside = s.bloom_probe(kept.value, parts, 1)[back]
-            earlier = np.r_[False, inside[:-1]] | (place == 0)
-            keys = keys[inside & earlier & ((place > 0) | (n == 2))]
+        # From the second order on, a mark before the text is one word of the n-gram at most.
+        keys = _ngrams(hashes, place, n)[(place > 0) | (n <= 2)]
         keys, count = np.unique(keys, return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(s.signed(keys)), pa.array(count)], ["key", "n"])
 
@@ -138,15 +157,13 @@ def _counted(training: DataFrame, n: int, kept: object | None) -> DataFrame:
 
 def count_words(training: DataFrame) -> DataFrame:
     """(key, n) of every word and of the end mark in a table with the column text."""
-    return s.materialize(_counted(training, 1, None), "words")
+    return s.materialize(_counted(training, 1), "words")
 
 
-def train(
-    training: DataFrame, words: DataFrame, floor: float = FLOOR, base: float = BASE, weights: tuple[float, ...] = WEIGHTS
-) -> Model:
+def train(training: DataFrame, words: DataFrame, base: float = BASE, weights: tuple[float, ...] = WEIGHTS) -> Model:
     """The model of a table with the column text; words: its :func:`count_words`."""
     tokens, types = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    thresholds = [max(1, int(np.ceil(floor * tokens)))]
+    thresholds = [1]
     while thresholds[-1] <= tokens:
         thresholds.append(max(thresholds[-1] + 1, int(np.ceil(thresholds[-1] * base))))
     thresholds.append(thresholds[-1] * 2)
@@ -155,40 +172,72 @@ def train(
     level = F.size(F.filter(bounds, lambda t: t <= F.col("n")))
     low, high = np.r_[0, thresholds[:-1]].astype(float), np.r_[0, thresholds[1:] - 1].astype(float)
     middle = F.element_at(F.array(*[F.lit(float(x)) for x in np.sqrt(low * high)]), level + 1)
-    kept = F.col("n") >= int(thresholds[0])
-    held, guessed, rare_n, rare_types = words.agg(
-        F.sum(F.when(kept, F.col("n"))),
-        F.sum(F.when(kept, middle)),
-        F.sum(F.when(~kept, F.col("n"))),
-        F.count(F.when(~kept, F.lit(1))),
-    ).first()
+    guessed = words.agg(F.sum(middle)).first()[0]
     whole = tokens + 0.1 * (types + 1)
-    rare = ((rare_n or 0) + 0.1 * rare_types + 0.1) / (rare_types + 1) / whole
-    model = Model(tokens, types, rare, (held or 0) / (guessed or 1), thresholds, weights)
-    context = training.sparkSession.sparkContext
-    counts, shipped = words, None
+    model = Model(tokens, types, 0.1 / whole, tokens / (guessed or 1), thresholds, weights)
+    texts = training.count()
+    model.edge = int((thresholds[:-1] <= texts).sum())
     for n in range(1, len(weights) + 2):
-        if n > 1:
-            counts = s.materialize(_counted(training, n, shipped).where(kept), "ngrams")
-        entries = counts.where(kept)
-        if n == 1:
-            # The mark before a text, once for each text.
-            start = [(int(s.signed(_START)[0]), training.count())]
-            entries = entries.unionByName(training.sparkSession.createDataFrame(start, "key long, n long").where(kept))
-        leveled = entries.select("key", F.explode(F.sequence(F.lit(1), level)).alias("salt"))
-        held = entries.agg(F.coalesce(F.sum(level), F.lit(0))).first()[0]
-        model.filters.append(s.build_bloom(leveled, s.segments_for(held)))
-        shipped = context.broadcast(model.filters[-1])
+        counts = words if n == 1 else _counted(training, n)
+        leveled = s.materialize(counts.select("key", level.alias("level")), "levels")
+        held = leveled.agg(F.coalesce(F.sum("level"), F.lit(0))).first()[0]
+        model.segments.append(s.segments_for(held))
+        entries = leveled.select("key", F.explode(F.sequence(F.lit(1), "level")).alias("salt"))
+        model.tables.append(s.materialize(s.bloom_table(entries, model.segments[-1]), "filter"))
+    if len(model.parts()) == 1:
+        model.filters = [s.bloom_bits(t, 0, n) for t, n in zip(model.tables, model.segments)]
     return model
 
 
+def _read_levels(narrow: DataFrame, model: Model) -> DataFrame:
+    """``narrow`` with ``levels``, for each text the bytes of each order, by a pass for each part of the filters."""
+    context, orders = narrow.sparkSession.sparkContext, len(model.segments)
+    schema = narrow.withColumn("levels", F.lit(None).cast("array<binary>")).schema
+    for parts in model.parts():
+        shipped = context.broadcast((model, [(n, a, b, s.bloom_bits(model.tables[n - 1], a, b)) for n, a, b in parts]))
+
+        def run(batch: pa.RecordBatch, shipped=shipped) -> pa.RecordBatch:
+            model, parts = shipped.value
+            words = s.Words(batch.column("text"))
+            hashes, text, place = _sequence(words)
+            levels = np.zeros((orders, len(hashes)), np.uint8)
+            if "levels" in batch.schema.names:
+                levels = _levels_of(batch, orders)
+            for n, first, last, bits in parts:
+                keys, back = np.unique(_ngrams(hashes, place, n), return_inverse=True)
+                segment = s.bloom_segment(keys, model.segments[n - 1])
+                own = np.flatnonzero((segment >= first) & (segment < last))
+                found = np.zeros(len(keys), np.uint8)
+                found[own] = model.levels(n, keys[own], bits, first)
+                levels[n - 1] += found[back]
+            ends = np.cumsum(words.per_text + 1)
+            column = [[row[a:b].tobytes() for row in levels] for a, b in zip(np.r_[0, ends[:-1]], ends)]
+            return pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in ("id", "row", "text")], pa.array(column, pa.list_(pa.binary()))],
+                ["id", "row", "text", "levels"],
+            )
+
+        narrow = s.materialize(s.map_chunks(narrow, "text", run, schema), "levels")
+        shipped.destroy()
+    return narrow
+
+
+def _levels_of(batch: pa.RecordBatch, orders: int) -> np.ndarray:
+    texts = batch.column("levels").to_pylist()
+    return np.array([np.frombuffer(b"".join(t[n] for t in texts), np.uint8) for n in range(orders)])
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, row (a hash of id and text), n_tokens and score, the log10 probability, of each text."""
+    narrow = _keyed(docs, id_col, text_col)
+    if not model.filters:
+        narrow = _read_levels(narrow, model)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = s.Words(batch.column("text"))
-        text, logs = shipped.value.log_probabilities(words)
+        words, model = s.Words(batch.column("text")), shipped.value
+        levels = None if model.filters else _levels_of(batch, len(model.segments))
+        text, logs = model.log_probabilities(words, levels)
         return pa.RecordBatch.from_arrays(
             [
                 batch.column("id"),
@@ -199,7 +248,6 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             ["id", "row", "n_tokens", "score"],
         )
 
-    narrow = _keyed(docs, id_col, text_col)
     kind = narrow.schema["id"].dataType.simpleString()
     return s.map_chunks(narrow, "text", run, f"id {kind}, row long, n_tokens long, score double")
 

@@ -240,14 +240,20 @@ def bloom_segment(keys: np.ndarray, count: int) -> np.ndarray:
     return ((mix(keys ^ np.uint64(0x1234567)) >> np.uint64(32)) % np.uint64(count)).astype(np.int64)
 
 
-def bloom_probe(bits: np.ndarray, keys: np.ndarray, salt: np.ndarray | int = 0) -> np.ndarray:
-    """Which keys the filter may hold. bits: a row of bytes for each segment."""
+def bloom_probe(
+    bits: np.ndarray, keys: np.ndarray, salt: np.ndarray | int = 0, first: int = 0, segments: int | None = None
+) -> np.ndarray:
+    """Which keys the filter may hold. bits: a row of bytes for each segment, from ``first`` on, of ``segments`` (default all).
+
+    The keys' segments must be among those of ``bits``.
+    """
+    segments = len(bits) if segments is None else segments
     found = np.zeros(len(keys), bool)
     alive = np.arange(len(keys))
     # Most keys that aren't there fail the first probe.
     for probes in (range(1), range(1, PROBES)):
         own = keys[alive]
-        segment, kept = bloom_segment(own, len(bits)), np.ones(len(own), bool)
+        segment, kept = bloom_segment(own, segments) - first, np.ones(len(own), bool)
         for place in bloom_places(own, salt, probes):
             byte = bits[segment, (place >> np.uint64(3)).astype(np.int64)]
             kept &= (byte >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
@@ -256,12 +262,8 @@ def bloom_probe(bits: np.ndarray, keys: np.ndarray, salt: np.ndarray | int = 0)
     return found
 
 
-def build_bloom(entries: DataFrame, segments: int) -> np.ndarray:
-    """Bits of a filter over ``entries`` (key long, salt int), a row of bytes for each segment.
-
-    Tasks fill whole segments; the driver receives ``segments`` x 128 KiB, whatever the number of
-    entries. The caller bounds ``segments``.
-    """
+def bloom_table(entries: DataFrame, segments: int) -> DataFrame:
+    """(segment int, bits binary) of a filter over ``entries`` (key long, salt int); tasks fill whole segments."""
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,8 +290,20 @@ def build_bloom(entries: DataFrame, segments: int) -> np.ndarray:
             )
 
     routed = entries.select("key", "salt").mapInArrow(route, "segment int, key long, salt int")
-    filled = routed.repartition("segment").mapInArrow(fill, "segment int, bits binary")
-    out = np.zeros((segments, SEGMENT_BITS // 8), np.uint8)
-    for row in filled.toLocalIterator():
-        out[row.segment] |= np.frombuffer(row.bits, np.uint8)
+    return routed.repartition("segment").mapInArrow(fill, "segment int, bits binary")
+
+
+def bloom_bits(table: DataFrame, first: int, last: int) -> np.ndarray:
+    """Bits of the segments from ``first`` to before ``last`` of a filter's table, a row of bytes for each."""
+    out = np.zeros((last - first, SEGMENT_BITS // 8), np.uint8)
+    for row in table.where((F.col("segment") >= first) & (F.col("segment") < last)).toLocalIterator():
+        out[row.segment - first] |= np.frombuffer(row.bits, np.uint8)
     return out
+
+
+def build_bloom(entries: DataFrame, segments: int) -> np.ndarray:
+    """Bits of a filter over ``entries`` (key long, salt int), a row of bytes for each segment.
+
+    The driver receives ``segments`` x 128 KiB, whatever the number of entries. The caller bounds ``segments``.
+    """
+    return bloom_bits(bloom_table(entries, segments), 0, segments)

@@ -187,6 +187,26 @@ def test_bloom_filter_bounds_and_levels(spark):
     assert shared.bloom_probe(bits, shared.mix(np.arange(20_000, dtype=np.uint64))).mean() < 0.02
 
 
+def test_models_larger_than_a_broadcast_give_the_same(spark, odd, monkeypatch):
+    docs = documents(spark).select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    train = docs.select("text")
+    model = lm.train(train, lm.count_words(train))
+    usual = sorted((r.row, round(r.score, 6)) for r in lm.score(docs, model).collect())
+    monkeypatch.setattr(lm, "MOST_SEGMENTS", 2)
+    parts = lm.train(train, lm.count_words(train))
+    assert not parts.filters and len(parts.parts()) > 1
+    assert usual == sorted((r.row, round(r.score, 6)) for r in lm.score(docs, parts).collect())
+
+
+def test_rare_words_are_kept_at_any_size(spark):
+    rare = spark.createDataFrame([("seldom seen words",)], "text string")
+    often = spark.range(20_000).selectExpr("repeat('very common words here ', 150) AS text")
+    train = rare.unionByName(often)
+    words = shared.Words(pa.array(["seldom seen words", "never met terms"]))
+    text, logs = lm.train(train, lm.count_words(train)).log_probabilities(words)
+    assert logs[text == 0][0] > logs[text == 1][0] + 0.5 and logs[text == 0][1] > logs[text == 1][1] + 3
+
+
 def test_lm_without_training(spark, odd, none):
     train = none.select("text")
     scored = lm.score(odd, lm.train(train, counted := lm.count_words(train)))
