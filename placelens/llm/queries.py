@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placelens.llm import chat, decontaminate, jaccard, knn, lm, mixing, quality, spans, urls, warc
+from placelens.llm import chat, decontaminate, fim, jaccard, knn, lm, mixing, quality, repair, spans, toxicity, urls, warc
 from placelens.llm.shared import crc_of_id
 
 RULES = [
@@ -107,6 +107,30 @@ def op10_mix(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    rows = fim.restore(fim.transform(_table(spark, sf, "documents").select("doc_id", "text")).drop("text"))
+    return rows.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", fim.digest("output").alias("output_sha256"), fim.digest("restored").alias("restored_sha256")
+    )
+
+
+def op12_repair(spark: SparkSession, sf: str) -> DataFrame:
+    harmed = repair.damaged(_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text"))
+    return (
+        repair.repair(harmed, dropped_col="dropped")
+        .withColumn("repaired_sha256", F.sha2(repair.repaired_text(), 256))
+        .drop("repaired")
+    )
+
+
+def op13_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = _table(spark, sf, "documents").select("doc_id", "text"), _table(spark, sf, "labels")
+    part = F.pmod(crc_of_id("doc_id"), F.lit(5))
+    model = toxicity.train(docs.where(part != 0), labels.where(part != 0))
+    scored = toxicity.score(docs, model, extra=((part == 0).alias("held_out"),))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict:
     import corpus_pipeline
 
@@ -118,8 +142,113 @@ _WORD = r"[^\x20\x09-\x0D]+"
 _CONTROLS = r"<\\*\|im_start\|>|<\\*\|im_end\|>|<\\*\|endoftext\|>|<\\*/s>|<\\*s>|\[\\*INST\]|\[\\*/INST\]|<\\*<SYS>>|<\\*</SYS>>"
 
 
+_SPACE = r"[\x20\x09-\x0D]"
+
+
+def _repair_sql() -> str:
+    """Cheapest edits by a dynamic programme: for each row and state the least (cost, audit), up to two inserts after each edit."""
+    return rf"""
+        WITH RECURSIVE crc AS (
+          SELECT list(list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]),
+            lambda c, z: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY n) AS t
+          FROM (SELECT unnest(range(256))::BIGINT AS n)),
+        raw AS (
+          SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+        keyed AS (
+          SELECT raw.*, xor(list_reduce(
+            list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT FOR x IN string_split(key, '')]),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS harm
+          FROM raw, crc),
+        rows_ AS (
+          SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+            CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+          FROM keyed, range(CASE harm WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)),
+        placed AS (
+          SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+            left(role, 1) AS x, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS px
+          FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM rows_)),
+        judged AS (
+          SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank' WHEN seen THEN 'duplicate'
+            WHEN NOT regexp_matches(text, '[.!?]{_SPACE}*\z') THEN 'truncated' ELSE '' END AS fault FROM placed),
+        told AS (
+          SELECT c.conv_id, count(i) AS n,
+            coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+            count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+            count(*) FILTER (fault = 'truncated') AS truncated,
+            count(*) FILTER (px IS NOT NULL AND px || x NOT IN ('su', 'ua', 'au')) AS illegal
+          FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN judged j ON c.conv_id IS NOT DISTINCT FROM j.conv_id
+          GROUP BY c.conv_id),
+        steps AS (SELECT s.x, s.a, s.b FROM (SELECT unnest([{{'x': 's', 'a': 0, 'b': 1}}, {{'x': 'u', 'a': 0, 'b': 2}},
+          {{'x': 'u', 'a': 1, 'b': 2}}, {{'x': 'u', 'a': 3, 'b': 2}}, {{'x': 'a', 'a': 2, 'b': 3}}]) AS s)),
+        ins AS (  -- no, one or two inserts from a state
+          SELECT s AS a, s AS b, 0 AS cost, '' AS audit, '' AS added FROM unnest([0, 1, 2, 3]) AS u(s)
+          UNION ALL SELECT a, b, 3, 'I', '+' || x FROM steps WHERE x <> 's'
+          UNION ALL SELECT p.a, q.b, 6, 'II', '+' || p.x || '+' || q.x FROM steps p JOIN steps q ON p.b = q.a WHERE p.x <> 's' AND q.x <> 's'),
+        edits AS (  -- what can be done with a row that has an initial and a fault
+          SELECT f.kind, i.x, e.* FROM (SELECT unnest(['must', 'cut', '']) AS kind) f, (SELECT DISTINCT x FROM judged) i,
+            LATERAL (
+              SELECT s AS a, s AS b, 4 AS cost, 'D' AS audit, '-' AS done FROM unnest([0, 1, 2, 3]) AS u(s)
+              UNION ALL SELECT a, b, 0 + 3 * (f.kind = 'cut')::INT, 'K', '=' FROM steps WHERE steps.x = i.x AND f.kind <> 'must'
+              UNION ALL SELECT a, b, 3 + 3 * (f.kind = 'cut')::INT, 'R', steps.x FROM steps
+                WHERE steps.x <> 's' AND steps.x <> i.x AND f.kind <> 'must') e),
+        moves AS (
+          SELECT e.kind, e.x, e.a, ins.b, e.cost + ins.cost AS cost, e.audit || ins.audit AS audit, e.done || ins.added AS done
+          FROM edits e JOIN ins ON e.b = ins.a),
+        best AS (
+          SELECT conv_id, 0::BIGINT AS i, ins.b AS state, ins.cost::BIGINT AS cost, ins.audit AS audit, ins.added AS done
+          FROM told JOIN ins ON ins.a = 0
+          UNION ALL
+          SELECT conv_id, i, state, least_.cost, least_.audit, least_.done FROM (
+            SELECT b.conv_id, b.i + 1 AS i, m.b AS state,
+              min({{'cost': b.cost + m.cost, 'audit': b.audit || m.audit, 'done': b.done || m.done}}) AS least_
+            FROM best b JOIN judged j ON b.conv_id IS NOT DISTINCT FROM j.conv_id AND j.i = b.i + 1
+              JOIN moves m ON m.a = b.state AND m.x = j.x AND m.kind = CASE j.fault WHEN '' THEN '' WHEN 'truncated' THEN 'cut' ELSE 'must' END
+            GROUP BY b.conv_id, b.i + 1, m.b)),
+        final AS (
+          SELECT t.conv_id, min({{'cost': cost, 'audit': audit, 'done': done}}) AS f
+          FROM best b JOIN told t ON b.conv_id IS NOT DISTINCT FROM t.conv_id AND b.i = t.n WHERE state IN (0, 3) GROUP BY t.conv_id),
+        acts AS (  -- each sign of done is a row's fate; + and a sign is an insert after it
+          SELECT conv_id, unnest(regexp_extract_all(f.done, '[+].|[^+]')) AS act,
+            generate_subscripts(regexp_extract_all(f.done, '[+].|[^+]'), 1) AS k FROM final),
+        numbered AS (
+          SELECT *, sum((NOT starts_with(act, '+'))::INT) OVER (PARTITION BY conv_id ORDER BY k) AS i FROM acts),
+        kept AS (
+          SELECT a.conv_id, string_agg(CASE WHEN act = '=' THEN j.role WHEN right(act, 1) = 'u' THEN 'user' ELSE 'assistant' END
+            || ':' || CASE WHEN starts_with(act, '+') THEN '' ELSE j.text END, chr(10) ORDER BY k) AS said
+          FROM numbered a LEFT JOIN judged j ON a.conv_id IS NOT DISTINCT FROM j.conv_id AND a.i = j.i
+          WHERE act <> '-' GROUP BY a.conv_id)
+        SELECT t.conv_id, gaps, blank, duplicate, truncated, illegal, f.cost::BIGINT AS cost, f.audit AS audit,
+          sha256(coalesce(said, '')) AS repaired_sha256
+        FROM told t JOIN final ON t.conv_id IS NOT DISTINCT FROM final.conv_id
+          LEFT JOIN kept ON t.conv_id IS NOT DISTINCT FROM kept.conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_fill_in_middle": rf"""
+            WITH d AS (
+              SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+            u AS (
+              SELECT *, regexp_extract_all(text, '{_SPACE}*[^ 	-
+]+|{_SPACE}+') AS units,
+                [('0x' || substr(h, 8 * k + 1, 8))::BIGINT FOR k IN [0, 1, 2, 3]] AS draw FROM d),
+            c AS (
+              SELECT *, len(units) AS n, least(draw[1] % (len(units) + 1), draw[2] % (len(units) + 1)) AS a,
+                greatest(draw[1] % (len(units) + 1), draw[2] % (len(units) + 1)) AS b,
+                CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR draw[3] % 100 >= 50
+                  THEN 'plain' WHEN draw[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+            p AS (
+              SELECT *, array_to_string(units[1:a], '') AS pre, array_to_string(units[a + 1:b], '') AS mid,
+                array_to_string(units[b + 1:n], '') AS suf FROM c)
+            SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END::BIGINT AS prefix_chars,
+              CASE WHEN form <> 'plain' THEN length(mid) END::BIGINT AS middle_chars,
+              sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+              sha256(text) AS restored_sha256
+            FROM p""",
+        "op12_repair": _repair_sql(),
         "op1_chat_format": f"""
             WITH t AS (
               SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
