@@ -234,6 +234,7 @@ def leaks(
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that leak a benchmark item; all columns stay."""
-    bad = s.materialize(leaks(docs, benchmark, id_col, text_col, **options).select(s.column(id_col).alias("id")).distinct(), "leaks")
+    found = lambda: leaks(docs, benchmark, id_col, text_col, **options).select(s.column(id_col).alias("id")).distinct()
+    bad = s.materialize_alone(found, "leaks")
     name = s.free_name(docs, "_id")
     return docs.join(bad.withColumnRenamed("id", name), s.column(id_col).eqNullSafe(F.col(name)), "left_anti")

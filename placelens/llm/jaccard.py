@@ -212,7 +212,7 @@ def components(links: DataFrame) -> DataFrame:
     both = s.materialize(
         links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links"
     )
-    state = s.materialize(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.col("v")).alias("comp")), "state")
+    state = table = s.materialize(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.col("v")).alias("comp")), "state")
     while True:
         near = both.join(state, F.col("b") == F.col("v")).groupBy("a").agg(F.min("comp").alias("near"))
         step = state.join(near, F.col("v") == F.col("a")).select(
@@ -223,8 +223,10 @@ def components(links: DataFrame) -> DataFrame:
             step.join(jump, "mid").select("v", "old", F.least("mid", "far").alias("comp")), "state"
         )
         changed = not new.where("comp <> old").isEmpty()
-        state = new.select("v", "comp")
+        s.release(table)
+        state, table = new.select("v", "comp"), new
         if not changed:
+            s.release(both)
             return state
 
 
@@ -235,17 +237,25 @@ def jaccard_groups(
 
     The component is named by its smallest id. k: words in a shingle; percent: the similarity.
     """
-    rows = s.materialize(shingle_sets(docs, id_col, text_col, k, percent), "sets")
-    full = rows.where("c is not null")
-    classes = s.materialize(
-        full.groupBy("c").agg(
+    with s.Scope() as scope:
+        return scope.keep(s.materialize(_grouped(docs, id_col, text_col, k, percent), "groups"))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    with_prefix = s.materialize(shingle_sets(docs, id_col, text_col, k, percent), "sets")
+    first_prefix = s.materialize(
+        with_prefix.where("c is not null").groupBy("c").agg(
             F.first("n").alias("n"), F.min("id").alias("rep"), F.count("*").alias("n_copies"), F.first("prefix").alias("prefix")
         ),
         "classes",
     )
-    chosen = s.materialize(_candidates(classes, percent), "chosen")
+    chosen = s.materialize_alone(lambda: _candidates(first_prefix, percent), "chosen")
+    # From here on without prefixes.
+    rows = s.materialize(with_prefix.select("id", "c", "n"), "sets")
+    classes = s.materialize(first_prefix.select("c", "rep", "n_copies"), "classes")
+    s.release(with_prefix, first_prefix)
     sets = s.materialize(_whole_sets(docs, chosen, id_col, text_col, k), "whole")
-    keys = s.materialize(_keys(sets, percent), "keys")
+    keys = s.materialize_alone(lambda: _keys(sets, percent), "keys")
     hubs = s.materialize(
         keys.groupBy("key")
         .agg(F.count("*").alias("size"), F.min(F.struct("lone", "c", "n", "own")).alias("hub"))
@@ -262,6 +272,7 @@ def jaccard_groups(
     # What is left: keys whose classes are in several components.
     held = keys.join(tied.withColumnRenamed("v", "c"), "c", "left").withColumn("comp", F.coalesce("comp", "c"))
     held = s.materialize(held.join(hubs.select("key", F.col("a").alias("hub")), "key"), "held")
+    s.release(keys, hubs)
     open_keys = s.materialize(
         held.groupBy("key")
         .agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max(F.when(F.col("c") == F.col("hub"), F.col("comp"))).alias("main"))

@@ -9,6 +9,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +35,15 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="placelens-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return root.rstrip("/")
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="placelens-")
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/placelens-{uuid.uuid4().hex[:12]}/{name}"
 
@@ -46,7 +52,49 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: cuts lineage and survives lost executors."""
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch = path
+    for scope in _SCOPES.get():
+        scope.tables.append(table)
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that :func:`materialize` gave; nothing that reads them may run afterwards."""
+    for table in tables:
+        path = table.__dict__.pop("scratch", None)
+        if path:
+            spark = table.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class Scope:
+    """``with Scope() as scope``: at the end, tables that were materialised inside go, but for those given to ``keep``."""
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        self.tables = [t for t in self.tables if t is not table]
+        return table
+
+    def __enter__(self) -> Scope:
+        self.token = _SCOPES.set((*_SCOPES.get(), self))
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        _SCOPES.reset(self.token)
+        release(*self.tables)
+
+
+def materialize_alone(build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The table that ``build`` gives, without those that were made on the way."""
+    with Scope() as scope:
+        return scope.keep(materialize(build(), name))
+
+
+_SCOPES: ContextVar[tuple[Scope, ...]] = ContextVar("scopes", default=())
 
 
 def free_name(df: DataFrame, wanted: str) -> str:
