@@ -112,9 +112,12 @@ def _packed(table: DataFrame, group: list[str], build) -> DataFrame:
 
 
 def top_inner_products(vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
-    """query_id, rank, vec_id, score. Both tables have the columns id (long) and vector (array of long)."""
-    vectors = s.materialize(vectors.select("id", "vector", F.size("vector").alias("dim")).distinct(), "vectors")
-    queries = s.materialize(queries.select("id", "vector", F.size("vector").alias("dim")).distinct(), "queries")
+    """query_id, rank, vec_id, score. Both tables have the columns id (long) and vector (array of long).
+
+    Rows without an id can't be told apart and take no part; an empty table gives no rows.
+    """
+    usable = lambda t: t.where("id is not null").select("id", "vector", F.size("vector").alias("dim")).distinct()
+    vectors, queries = s.materialize(usable(vectors), "vectors"), s.materialize(usable(queries), "queries")
     shards = max(1, -(-vectors.count() // shard))
     blocks = max(1, -(-queries.count() // block))
     trees = s.materialize(
