@@ -12,7 +12,8 @@ tags dropped, character references decoded, white space folded.
 
 Edge cases: a null payload is empty, and so is its text; null ids or URIs are empty header values;
 control characters in a URI or header are encoded for urls, so they can't break a record; repeated rows
-give repeated records with equal ids; an empty table gives no rows; every record is handled by itself.
+give repeated records with equal ids; other columns don't matter; an empty table gives no rows; every record is handled by itself, a very
+long or broken page in time in proportion to its length.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ from pyspark.sql import functions as F
 from placelens.llm.shared import column
 
 DATE = "1970-01-01T00:00:00Z"
-_HIDDEN = re.compile(r"<!--.*?-->|<(script|style|template|noscript)\b.*?</\1\s*>", re.S | re.I)
+_HIDDEN = re.compile(r"<(?:!--|(script|style|template|noscript)\b)", re.I)
+_CLOSED = {k: re.compile(rf"</{k}\s*>", re.I) for k in ("script", "style", "template", "noscript")} | {"": re.compile("-->")}
 _BLOCK = re.compile(
     r"</?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|h[1-6]|tr|table|thead|tbody|section|article|nav|header|footer|main|aside|form|title"
     r"|blockquote|pre|figure)\b[^>]*>",
@@ -40,9 +42,28 @@ _TAG = re.compile(r"</?[a-zA-Z][^>]*>|<![^>]*>|<\?[^>]*>")
 _CONTROL = re.compile(r"[\x00-\x1f\x7f]")
 
 
+def without_hidden(page: str) -> str:
+    """The page with a space for each comment, script, style, template and noscript that is closed; one pass."""
+    pieces, kept, at, unclosed = [], 0, 0, set()
+    while found := _HIDDEN.search(page, at):
+        kind = (found[1] or "").lower()
+        at = found.end()
+        if kind in unclosed:
+            continue
+        close = _CLOSED[kind].search(page, at)
+        if close is None:
+            unclosed.add(kind)
+            continue
+        pieces += page[kept : found.start()], " "
+        kept = at = close.end()
+    return "".join([*pieces, page[kept:]])
+
+
 def plain_text(page: str) -> str:
-    text = _HIDDEN.sub(" ", page)
-    text = _TAG.sub("", _BLOCK.sub("\n", text.replace("\r", " ").replace("\n", " ")))
+    text = without_hidden(page).replace("\r", " ").replace("\n", " ")
+    # No tag ends in what is behind the last ``>``, and a search there would go over it from every ``<``.
+    end = text.rfind(">") + 1
+    text = _TAG.sub("", _BLOCK.sub("\n", text[:end])) + text[end:]
     lines = (" ".join(line.split()) for line in html.unescape(text).split("\n"))
     return "\n".join(line for line in lines if line)
 
