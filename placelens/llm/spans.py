@@ -4,7 +4,7 @@ A text is cut into sentences after a stop before white space, and at line ends.
 passage that was put inside a sentence is then found but for a few words at its edges. A sentence of more
 than ``LONG`` words is cut further, after about a fourth of its words: those whose hash together with the
 word before says so, and those equal to the word before. So equal passages are cut alike in whatever sentence
-they stand. From every sentence a span runs over the fewest sentences that are at least ``sentences`` and hold at least ``words``
+they stand, and more than 50 words that repeat hold two whole pieces of at least 20 words. From every sentence a span runs over the fewest sentences that are at least ``sentences`` and hold at least ``words``
 words; equal words give equal spans wherever they stand. Every span is hashed. The first place of a
 hash, by id and then place in the text, stays; sentences that any other place of it covers are
 removed, all at once. Bytes that stay are unchanged, and so is a text with nothing to remove.
@@ -15,7 +15,8 @@ sides of the join are plain shuffles, which adaptive execution splits.
 
 Edge cases: a null text stays null, an empty one empty; a text with fewer sentences or words than a
 span stays; rows that are equal in id and text count as one document and get the same result; a null id
-comes first; other columns are kept; an empty table gives no rows.
+comes first; other columns are kept, also with names like the result's; a very long text is read whole, in one piece; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from placelens.llm import shared as s
 
-SENTENCES, WORDS = 3, 20
+SENTENCES, WORDS = 2, 20
 STOPS = b".!?,;:"
 LONG, CUT = 16, 4
 
@@ -120,6 +121,7 @@ def drop_repeated_spans(
         .agg(F.collect_set("span").alias("gone")),
         "gone",
     ).select(F.col("row").alias(row), F.col("gone").alias(gone))
+    s.release(repeated)
     joined = keyed.join(lists, row, "left").drop(row)
     extra = [s.free_name(docs, removed_col)] if removed_col else []
     schema = docs.schema
