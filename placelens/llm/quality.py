@@ -5,15 +5,15 @@ order and whether it repeats the word before, and of lower-cased words (1 and 2)
 the log ratio of its smoothed shares in the two classes, rows are scaled to length 1, and a linear
 hinge-loss model is fitted by dual coordinate descent.
 
-Class counts come from all labelled training rows, with partial sums. The model itself is fitted in one
-task on at most ``sample`` of them, those with the smallest hash of the id; weights are ``features``
-doubles. Everything else is one pass over the texts.
+Class counts come from all labelled training rows: texts move once to their labels, and each task gives the sums of its features.
+The model itself is fitted in one task on at most ``sample`` ids with a label, those with the smallest hash (of several texts with
+an id the greatest); weights are ``features`` doubles. Scoring is one pass over the texts.
 
 score = 1 / (1 + exp(-2 * margin)), so 0.5 is the separating plane.
 
 Edge cases: null and empty texts have the bias as their margin; a label other than 0 and 1, and ids with
 both labels, are left out of training; with no labels or one class alone each score is 0.5 and each prediction 1; repeated rows score
-alike; an empty table gives no rows; other columns don't matter.
+alike; a very long text is read whole, in one piece; an empty table gives no rows; other columns don't matter.
 """
 
 from __future__ import annotations
@@ -76,19 +76,6 @@ def indicators(texts: pa.Array, features: int = FEATURES) -> tuple[np.ndarray, n
     return both // features, both % features
 
 
-def _featured(docs: DataFrame, id_col: str, text_col: str, features: int) -> DataFrame:
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        text, feature = indicators(batch.column("text"), features)
-        return pa.RecordBatch.from_arrays(
-            [batch.column("id"), s.lists(feature.astype(np.int32), np.bincount(text, minlength=batch.num_rows))],
-            ["id", "features"],
-        )
-
-    narrow = docs.select(s.column(id_col).alias("id"), s.column(text_col).alias("text"))
-    kind = narrow.schema["id"].dataType.simpleString()
-    return s.map_chunks(narrow, "text", run, f"id {kind}, features array<int>")
-
-
 def fit_dual(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, cost: float, epochs: int) -> tuple[np.ndarray, float]:
     """Weights and bias of the hinge-loss model over rows of indicators, by dual coordinate descent."""
     n = len(rows)
@@ -132,33 +119,56 @@ def train(
         labels.where(label.isin(0, 1)).groupBy(s.column(id_col).alias("id"))
         .agg(F.min(label).alias("label"), F.max(label).alias("other")).where("label = other").select("id", "label")
     )
-    labelled = s.materialize(_featured(docs, id_col, text_col, features).join(known, "id"), "labelled")
-    counts = (
-        labelled.select("label", F.explode("features").alias("feature"))
-        .groupBy("feature")
-        .agg(F.sum("label").alias("good"), F.sum(1 - F.col("label")).alias("bad"))
-        .toPandas()
-    )
-    sizes = {r.label: r["count"] for r in labelled.groupBy("label").count().collect()}
-    if len(sizes) < 2:
+    narrow = docs.select(s.column(id_col).alias("id"), s.column(text_col).alias("text"))
+
+    def tally(batches):
+        counts, sizes = np.zeros((2, features), np.int64), np.zeros(2, np.int64)
+        for batch in batches:
+            for chunk in s.chunks([batch], "text"):
+                good = chunk.column("label").to_numpy(zero_copy_only=False).astype(np.int64)
+                sizes += np.bincount(good, minlength=2)
+                text, feature = indicators(chunk.column("text"), features)
+                for y in (0, 1):
+                    counts[y] += np.bincount(feature[good[text] == y], minlength=features)
+        seen = np.flatnonzero(counts.any(axis=0))
+        rows = np.r_[seen, -1], np.r_[counts[0][seen], sizes[0]], np.r_[counts[1][seen], sizes[1]]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], ["feature", "bad", "good"])
+
+    # Texts move once, to their labels, which grow with the corpus and so are never broadcast; what leaves a task are
+    # its own sums. Feature -1 counts rows.
+    sums = (
+        narrow.join(known.hint("merge"), "id").select("label", "text").mapInArrow(tally, "feature long, bad long, good long")
+        .groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).toPandas()
+    )
+    rows, counts = sums[sums.feature < 0], sums[sums.feature >= 0]
+    sizes = int(rows.bad.sum()), int(rows.good.sum())
+    if not all(sizes):
         return np.zeros((2, features)), 0.0
     good, bad = np.zeros(features), np.zeros(features)
     good[counts.feature], bad[counts.feature] = counts.good, counts.bad
     ratio = np.log((good + 1) / (sizes[1] + 2)) - np.log((bad + 1) / (sizes[0] + 2))
-    picked = labelled.orderBy(F.xxhash64("id"), "id").limit(sample)
+    # Ids first, so that the texts of at most ``sample`` ids are moved.
+    ids = known.join(narrow.select("id"), "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(sample)
+    chosen = s.materialize(ids, "picked")
+    picked = narrow.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.max("text").alias("text"))
 
     def fit(batches):
         rows, given = [], []
-        for batch in batches:
-            given.append(batch.column("label").to_numpy(zero_copy_only=False))
-            rows += [np.asarray(x, np.int64) for x in batch.column("features").to_numpy(zero_copy_only=False)]
+        for whole in batches:
+            for batch in s.chunks([whole], "text"):
+                given.append(batch.column("label").to_numpy(zero_copy_only=False))
+                text, feature = indicators(batch.column("text"), features)
+                rows += np.split(feature, np.searchsorted(text, np.arange(1, batch.num_rows)))
         if rows:
             weights, bias = fit_dual(rows, np.where(np.concatenate(given) == 1, 1.0, -1.0), ratio, cost, epochs)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([(weights * ratio).tobytes()], pa.binary()), pa.array([bias])], ["weights", "bias"]
             )
 
-    row = picked.select("features", "label").coalesce(1).mapInArrow(fit, "weights binary, bias double").first()
+    # The order of the rows decides the fit's path, so it is fixed.
+    ordered = picked.coalesce(1).sortWithinPartitions(F.xxhash64("id"), "id").select("text", "label")
+    row = ordered.mapInArrow(fit, "weights binary, bias double").first()
+    s.release(chosen)
     return np.stack([np.frombuffer(row.weights, np.float64), ratio * ratio]), row.bias
 
 
