@@ -3,11 +3,12 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from placelens.functions.geometry import Disc, haversine_km, ring
-from placelens.operators.containment import points_in_shapes
+from placelens.operators.containment import CAPACITY, outline_cells, points_in_shapes
 from placelens.operators.density import density_grid
 from placelens.operators.radius import count_within
 from tests.conftest import plan_of, rows
@@ -186,11 +187,56 @@ def test_shapes_same_as_ray_casting(spark):
         return hits % 2 == 1
 
     expected = [(i, j) for i, p in enumerate(where) for j, s in enumerate(stars) if inside(p, s)]
-    for band, cell in [(1.0, 5.0), (0.3, 0.7), (50.0, 50.0)]:
-        got = points_in_shapes(points(spark, where), shapes, ["geonameid"], band=band, cell=cell)
+    for capacity in (CAPACITY, 1, 4, 1000):
+        got = points_in_shapes(points(spark, where), shapes, ["geonameid"], capacity=capacity)
         assert rows(got, "id", "geonameid") == sorted(expected, key=repr)
 
 
+def coast(n, cx, cy, seed):
+    """A ring of n corners that runs in and out at every scale."""
+    r = random.Random(seed)
+    waves = [(k, r.uniform(0, 6.28), r.uniform(0.2, 0.6) / k**0.5) for k in (3, 17, 120, 900)]
+    ring = []
+    for i in range(n):
+        a = 2 * math.pi * i / n
+        d = 6 + sum(h * math.sin(k * a + s) for k, s, h in waves)
+        ring.append([cx + d * math.cos(a), cy + d * math.sin(a)])
+    return [*ring, ring[0]]
+
+
+def test_a_long_outline_is_cut_into_bounded_cells(spark):
+    """50,000 edges, with a hole of as many and a part across the grid's origin."""
+    outer, hole = coast(50_000, 3.0, 61.0, 1), [[3 + (x - 3) / 3, 61 + (y - 61) / 3] for x, y in coast(50_000, 3.0, 61.0, 2)]
+    polygons = [[outer, hole], [coast(3_000, -1.0, 1.0, 3)]]
+    shapes = spark.createDataFrame([(1, "AA", polygons)], SHAPES)
+    cells = outline_cells(shapes, ["geonameid"]).selectExpr("level", "cx", "cy", "size(edges) AS n", "inside").collect()
+    assert max(c.n for c in cells) <= CAPACITY and len({(c.level, c.cx, c.cy) for c in cells}) == len(cells)
+    assert sum(c.n == 0 for c in cells) > 100 and all(c.inside for c in cells if not c.n)
+    r = random.Random(4)
+    where = [(r.uniform(-5, 11), r.uniform(53, 69)) for _ in range(1500)] + [(r.uniform(-8, 6), r.uniform(-6, 8)) for _ in range(500)]
+    where += [(x + r.uniform(-1e-3, 1e-3), y + r.uniform(-1e-3, 1e-3)) for x, y in r.sample(outer, 500)]
+    edges = np.array([[*a, *b] for polygon in polygons for ring_ in polygon for a, b in zip(ring_, ring_[1:])])
+    x1, y1, x2, y2 = edges.T
+
+    def inside(x, y):
+        over = (y1 > y) != (y2 > y)
+        return (x < x1[over] + (y - y1[over]) * (x2[over] - x1[over]) / (y2[over] - y1[over])).sum() % 2 == 1
+
+    got = points_in_shapes(points(spark, where), shapes, ["geonameid"])
+    assert {i for (i,) in rows(got, "id")} == {i for i, (x, y) in enumerate(where) if inside(x, y)}
+
+
+def test_shapes_and_points_out_of_the_ordinary(spark):
+    shapes = spark.createDataFrame(
+        [(1, "AA", [[SQUARE]]), (2, "AA", None), (3, "AA", []), (4, "AA", [[[[0.0, 0.0]], []]]), (5, "AA", [[[[0.0, 0.0], [0.0, 0.0]]]]),
+         (6, "AA", [[[[500.0, 100.0], [900.0, 100.0], [900.0, 400.0], [500.0, 400.0], [500.0, 100.0]]]]), (1, "AA", [[SQUARE]])],
+        SHAPES,
+    )
+    where = [(1.0, 1.0), (math.nan, 1.0), (1.0, math.inf), (None, 1.0), (700.0, 300.0), (-1e300, 1.0), (2.0, 3.999999)]
+    got = points_in_shapes(points(spark, where), shapes, ["geonameid"])
+    assert rows(got, "id", "geonameid") == [(0, 1), (0, 1), (4, 6), (6, 1), (6, 1)]
+
+
 def test_shapes_plan(spark):
     shapes = spark.createDataFrame([(1, "AA", [[SQUARE]])], SHAPES)
     plan = plan_of(points_in_shapes(points(spark, [(1.0, 1.0)]), shapes, ["geonameid"]))
