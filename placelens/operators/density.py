@@ -14,6 +14,12 @@ and the bracket, summed over points, is the moment. Cut off after order 10 the e
 below 1e-10 of the kernel's height, far under the rounding of a plot. Moments add up, so
 one partial aggregation over the points does the work; what follows grows with the
 number of occupied bins and grid cells, not with the points.
+
+A bin only meets the columns and rows of the grid within ``REACH`` bandwidths of its centre: beyond, a kernel is
+below 1e-12 of its height. So what is summed is bounded by bins times that reach, however large the grid is
+against the kernel. Cells are clipped by the outline before sums are joined to them.
+
+``exact`` sums every location's kernel at every cell instead, with no cut; its cost is locations times cells.
 """
 
 from __future__ import annotations
@@ -27,7 +33,10 @@ from placelens.operators.containment import points_in_shapes
 from placelens.plans.joins import is_small, join_dimension
 
 ORDER = 10
+REACH = 8.0
 BINS_PER_BANDWIDTH = 2
+# Not null, NaN (which Spark orders above infinity) or infinite.
+FINITE = "abs(longitude) < double('infinity') AND abs(latitude) < double('infinity')"
 SHAPE_COLUMNS = ["n", "mid_x", "mid_y", "l11", "l21", "l22", "low_x", "low_y", "step_x", "step_y"]
 
 
@@ -76,26 +85,60 @@ def density_grid(
     size: int = 100,
     cut: float = 3.0,
     clip: bool = True,
+    exact: bool = False,
 ) -> DataFrame:
     """Density at the cells of a size x size grid over each country that has an outline.
 
     ``outlines`` has country_code and polygons; with ``clip`` only cells inside the
-    outline stay. Densities integrate to 1 over the whole plane.
+    outline stay. Densities integrate to 1 over the whole plane. Points with a null, NaN or infinite
+    coordinate don't count.
     """
     if size < 2:
         raise ValueError("a grid needs at least 2 cells a side")
-    located = points.select("country_code", "longitude", "latitude").filter(
-        "country_code IS NOT NULL AND longitude IS NOT NULL AND latitude IS NOT NULL"
+    located = points.select("country_code", F.col("longitude").cast("double"), F.col("latitude").cast("double")).filter(
+        f"country_code IS NOT NULL AND {FINITE}"
     )
     countries = outlines.select("country_code").distinct()
     shapes = kernel_shapes(located, size, cut).join(countries, "country_code", "left_semi")
     # One narrow row per outlined country, so what counts is how many those are, not how detailed.
-    placed = join_dimension(located, shapes, ["country_code"], small=is_small(countries))
-    bins = _bin_moments(placed)
-    cells = _sum_over_bins(bins, size)
-    if not clip:
-        return cells
-    return points_in_shapes(cells, outlines, ["country_code"], match=["country_code"])
+    small = is_small(countries)
+    placed = join_dimension(located, shapes, ["country_code"], small=small)
+    sums = _sum_over_locations(placed, size) if exact else _sum_over_bins(_bin_moments(placed), size)
+    steps = F.sequence(F.lit(0), F.lit(size - 1))
+    cells = shapes.withColumn("ix", F.explode(steps)).withColumn("iy", F.explode(steps)).select(
+        "country_code", "ix", "iy", _along("x").alias("longitude"), _along("y").alias("latitude")
+    )
+    if clip:
+        cells = points_in_shapes(cells, outlines, ["country_code"], match=["country_code"])
+    return cells.join(sums, ["country_code", "ix", "iy"], "left").select(
+        *cells.columns, F.coalesce("density", F.lit(0.0)).alias("density")
+    )
+
+
+def _along(axis: str) -> Column:
+    """Longitude or latitude of a grid column or row."""
+    return F.col(f"low_{axis}") + F.col(f"i{axis}") * F.col(f"step_{axis}")
+
+
+def _near(axis: str, size: int, low: str, high: str) -> Column:
+    """The numbers of the columns or rows that lie between two coordinates."""
+    at = lambda f, c: f"{f}(greatest(-1e9D, least(1e9D, ({c} - low_{axis}) / step_{axis})))"
+    first, last = f"greatest(0, int({at('ceil', low)}))", f"least({size - 1}, int({at('floor', high)}))"
+    return F.expr(f"if({first} <= {last}, sequence({first}, {last}), cast(array() AS array<int>))")
+
+
+def _sum_over_locations(placed: DataFrame, size: int) -> DataFrame:
+    """Density at each cell from every distinct location, term by term."""
+    steps = F.sequence(F.lit(0), F.lit(size - 1))
+    u1, u2 = _rounded_space(F.col("longitude"), F.col("latitude"))
+    locations = placed.groupBy("country_code", "longitude", "latitude").agg(
+        F.count("*").alias("weight"), *[F.any_value(c).alias(c) for c in SHAPE_COLUMNS]
+    )
+    cells = locations.withColumns({"u1": u1, "u2": u2}).withColumn("ix", F.explode(steps)).withColumn("iy", F.explode(steps))
+    v1, v2 = _rounded_space(_along("x"), _along("y"))
+    square = (v1 - F.col("u1")) * (v1 - F.col("u1")) + (v2 - F.col("u2")) * (v2 - F.col("u2"))
+    height = 2 * F.pi() * F.col("l11") * F.col("l22") * F.col("n")
+    return cells.groupBy("country_code", "ix", "iy").agg(F.sum(F.exp(-square / 2) * F.col("weight") / height).alias("density"))
 
 
 def _bin_moments(placed: DataFrame) -> DataFrame:
@@ -125,10 +168,8 @@ def _bin_moments(placed: DataFrame) -> DataFrame:
 
 def _sum_over_bins(bins: DataFrame, size: int) -> DataFrame:
     """Density at each cell. What depends on the column alone is summed once per column."""
-    steps = F.sequence(F.lit(0), F.lit(size - 1))
-    across = bins.withColumn("ix", F.explode(steps)).withColumn(
-        "longitude", F.col("low_x") + F.col("ix") * F.col("step_x")
-    )
+    reached = _near("x", size, f"(mid_x + l11 * (c1 - {REACH}D))", f"(mid_x + l11 * (c1 + {REACH}D))")
+    across = bins.withColumn("ix", F.explode(reached)).withColumn("longitude", _along("x"))
     u1, rest = _rounded_space(F.col("longitude"), F.lit(0.0))
     height = 1 / (2 * F.pi() * F.col("l11") * F.col("l22") * F.col("n"))
     columns = across.withColumns({"x1": u1 - F.col("c1"), "rest": rest})
@@ -144,17 +185,12 @@ def _sum_over_bins(bins: DataFrame, size: int) -> DataFrame:
     columns = columns.groupBy("country_code", "ix", "bin2").agg(
         *[F.any_value(c).alias(c) for c in kept], *[F.sum(f"k{j}").alias(f"k{j}") for j in range(ORDER + 1)]
     )
-    cells = columns.withColumn("iy", F.explode(steps)).withColumn(
-        "latitude", F.col("low_y") + F.col("iy") * F.col("step_y")
-    )
+    reached = _near("y", size, f"((c2 - rest - {REACH}D) * l22)", f"((c2 - rest + {REACH}D) * l22)")
+    cells = columns.withColumn("iy", F.explode(reached)).withColumn("latitude", _along("y"))
     offsets = cells.withColumn("x2", F.col("latitude") / F.col("l22") + F.col("rest") - F.col("c2"))
     powers = _horner("x2", [f"k{j}" for j in range(ORDER + 1)])
     value = F.expr(f"exp(-x2 * x2 / 2) * ({powers})")
-    return offsets.groupBy("country_code", "ix", "iy").agg(
-        F.any_value("longitude").alias("longitude"),
-        F.any_value("latitude").alias("latitude"),
-        F.sum(value).alias("density"),
-    )
+    return offsets.groupBy("country_code", "ix", "iy").agg(F.sum(value).alias("density"))
 
 
 def _rounded_space(x: Column, y: Column) -> tuple[Column, Column]:

@@ -356,10 +356,12 @@ def oracle_sql() -> dict[str, str]:
         ),
         "shapes_with_index": _sql(
             "shape_boxes scaled",
-            """SELECT c.geonameid, c.country_code, c.feature_class, 2::BIGINT AS rings,
-                      round(x, 6) AS first_lon, round(y, 6) AS first_lat,
+            """SELECT c.geonameid, c.country_code, c.feature_class, v.ring::BIGINT AS ring, v.vertex::BIGINT AS vertex,
+                      round(x + dx, 6) AS lon, round(y + dy, 6) AS lat,
                       round(scaled_index, 6) AS scaled_index
-               FROM shape_boxes s JOIN scaled c ON s.geonameid = c.geonameid""",
+               FROM shape_boxes s JOIN scaled c ON s.geonameid = c.geonameid,
+                 (VALUES (0, 0, 0, 0), (0, 1, 10, 0), (0, 2, 10, 10), (0, 3, 0, 10), (0, 4, 0, 0),
+                         (1, 0, 4, 4), (1, 1, 6, 4), (1, 2, 6, 6), (1, 3, 4, 6), (1, 4, 4, 4)) v(ring, vertex, dx, dy)""",
         ),
         "class_distribution": _sql("distribution", "SELECT * FROM distribution"),
         "class_share": _sql(
@@ -458,6 +460,6 @@ def oracle_sql() -> dict[str, str]:
             "SELECT * FROM answer",
             spots="""SELECT p.country_code, p.longitude, p.latitude
                      FROM places p JOIN school s ON p.feature_code = s.feature_code""",
-            **_density("spots", 8, ""),
+            **_density("spots", 8, "round(gx, 6) AS longitude, round(gy, 6) AS latitude,"),
         ),
     }

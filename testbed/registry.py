@@ -236,15 +236,17 @@ def neighbour_compare(spark, sf):
 def shapes_with_index(spark, sf):
     scaled = facility.country_index_scaled(_index(spark, sf))
     joined = facility.shapes_with_index(keyed_shapes(t.country_shapes(spark, sf)), scaled)
-    rings = F.flatten("polygons")
+    rings = joined.select("*", F.posexplode(F.flatten("polygons")).alias("ring", "positions"))
+    corners = rings.select("*", F.posexplode("positions").alias("vertex", "position"))
     return _rounded(
-        joined.select(
+        corners.select(
             "geonameid",
             "country_code",
             "feature_class",
-            F.size(rings).cast("bigint").alias("rings"),
-            F.get(F.get(F.get(rings, F.lit(0)), F.lit(0)), F.lit(0)).alias("first_lon"),
-            F.get(F.get(F.get(rings, F.lit(0)), F.lit(0)), F.lit(1)).alias("first_lat"),
+            F.col("ring").cast("bigint").alias("ring"),
+            F.col("vertex").cast("bigint").alias("vertex"),
+            F.get("position", F.lit(0)).alias("lon"),
+            F.get("position", F.lit(1)).alias("lat"),
             "scaled_index",
         )
     )
@@ -416,4 +418,11 @@ def place_density(spark, sf):
         t.SCHOOL,
         DENSITY_CELLS,
     )
-    return cells.select("country_code", "ix", "iy", F.round("density", DIGITS + 2).alias("density"))
+    return cells.select(
+        "country_code",
+        "ix",
+        "iy",
+        F.round("longitude", DIGITS).alias("longitude"),
+        F.round("latitude", DIGITS).alias("latitude"),
+        F.round("density", DIGITS + 2).alias("density"),
+    )

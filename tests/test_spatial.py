@@ -302,6 +302,34 @@ def test_density_clip_and_degenerate(spark):
     assert free.count() == 400
 
 
+def test_points_without_a_place_do_not_empty_a_country(spark):
+    r = random.Random(5)
+    data = [(r.uniform(0, 4), r.uniform(0, 4)) for _ in range(50)]
+    shapes = spark.createDataFrame([(1, "AA", [WORLD])], SHAPES)
+    rounded = [F.round(c, 12).alias(c) for c in ("longitude", "latitude", "density")]
+    grid = lambda rows_: rows(density_grid(points(spark, rows_), shapes, size=8).select("ix", "iy", *rounded))
+    plain = grid(data)
+    assert len(plain) == 64
+    for odd in (math.nan, math.inf, -math.inf, None):
+        assert grid([*data, (odd, 1.0), (1.0, odd), (odd, odd)]) == plain
+
+
+def test_kernels_are_summed_within_reach_only(spark):
+    """Two clusters far apart: most of the grid is out of reach of every bin, and the sums agree with every term added."""
+    r = random.Random(6)
+    data = [(r.gauss(0, 1), r.gauss(0, 1)) for _ in range(3000)] + [(60 + r.gauss(0, 1), 30 + r.gauss(0, 3)) for _ in range(3)]
+    shapes = spark.createDataFrame([(1, "AA", [WORLD])], SHAPES)
+    table = points(spark, data)
+    got, exact = (density_grid(table, shapes, size=30, exact=x).orderBy("ix", "iy").collect() for x in (False, True))
+    assert [(c.ix, c.iy, c.longitude, c.latitude) for c in got] == [(c.ix, c.iy, c.longitude, c.latitude) for c in exact] and len(got) == 900
+    peak = max(c.density for c in exact)
+    assert sum(c.density == 0 for c in got) > 100
+    for c, d in zip(got, exact):
+        assert c.density == pytest.approx(d.density, abs=1e-10 * peak)
+    for c in exact[::97]:
+        assert c.density == pytest.approx(kde(data, c.longitude, c.latitude), abs=1e-12 * peak)
+
+
 def test_density_plan(spark):
     shapes = spark.createDataFrame([(1, "AA", [WORLD])], SHAPES)
     plan = plan_of(density_grid(points(spark, [(0.0, 1.0)]), shapes, size=5))
