@@ -127,24 +127,27 @@ def points_in_shapes(
     """
     match = match or []
     keys = list(dict.fromkeys([*shape_key, *match]))
-    own = ["level", "cx", "cy", "edges", "inside"]
+    own = ["level", "cx", "cy", "edges", "inside", "east", "south"]
     names = free_names([f"_{name}" for name in own], points, shapes)
-    level, cx, cy, edges, inside = names
+    level, cx, cy, edges, inside, east, south = names
     # Where no outline has more edges than a cell may have, cells of one size do.
     most = shapes.select(F.max(F.expr(f"size({outline_edges()})"))).first()[0] or 0
     levels = range(1, 2) if most <= capacity else range(len(SIZES))
-    cells = outline_cells(shapes, keys, capacity, levels).withColumnsRenamed(dict(zip(own, names)))
+    cells = outline_cells(shapes, keys, capacity, levels)
+    size = f"element_at(array({', '.join(f'{s!r}D' for s in SIZES)}), level + 1)"
+    sides = F.expr(f"(cx + 1) * {size} + {SHIFT}D").alias("east"), F.expr(f"cy * {size} + {SHIFT}D").alias("south")
+    cells = cells.select("*", *sides).withColumnsRenamed(dict(zip(own, names)))
     place = lambda c, size: f"floor((double({c}) - {SHIFT}D) / {size!r}D)"
-    around = ", ".join(
-        f"named_struct('{level}', {i}, '{cx}', {place('longitude', size)}, '{cy}', {place('latitude', size)})"
-        for i, size in enumerate(SIZES)
-        if i in levels
-    )
-    (at,) = free_names(["_at"], points, shapes)
+    at = {i: (place("longitude", SIZES[i]), place("latitude", SIZES[i])) for i in levels}
     located = points.where("abs(double(longitude)) < double('infinity') AND abs(double(latitude)) < double('infinity')")
-    placed = located.select("*", F.explode(F.expr(f"array({around})")).alias(at)).select(*located.columns, f"{at}.*")
-    size = f"element_at(array({', '.join(f'{s!r}D' for s in SIZES)}), {level} + 1)"
-    east, south = f"(({cx} + 1) * {size} + {SHIFT}D)", f"({cy} * {size} + {SHIFT}D)"
+    if len(at) == 1:
+        ((x, y),) = at.values()
+        placed, cells = located.withColumns({cx: F.expr(x), cy: F.expr(y)}), cells.drop(level)
+    else:
+        around = ", ".join(f"named_struct('{level}', {i}, '{cx}', {x}, '{cy}', {y})" for i, (x, y) in at.items())
+        (key,) = free_names(["_at"], points, shapes)
+        placed = located.select("*", F.explode(F.expr(f"array({around})")).alias(key)).select(*located.columns, f"{key}.*")
     crossed = f"{_crosses_column(east, south, 'double(latitude)')} <> {_crosses_row('double(latitude)', 'double(longitude)', east)}"
     hit = F.expr(f"{inside} <> (size(filter({edges}, e -> {crossed})) % 2 = 1)")
-    return join_dimension(placed, cells, [*match, level, cx, cy]).filter(hit).drop(*names)
+    on = [*match, *([level] if len(at) > 1 else []), cx, cy]
+    return join_dimension(placed, cells, on).filter(hit).drop(*names)
