@@ -13,6 +13,7 @@ from placelens.operators.cleaning import clean_places
 from placelens.sources import sinks, tables
 from placelens.sources.archives import parse_place_lines, read_archives
 from placelens.sources.links import page_links
+from placelens.sources import shapes as shapes_source
 from placelens.sources.shapes import keyed_shapes, read_shapes
 from placelens.sources.warehouse import jdbc_options
 from tests.conftest import plan_of, rows
@@ -162,11 +163,56 @@ def test_shapes(spark, tmp_path):
 
 def test_shapes_in_another_system_fail(spark, tmp_path):
     path = tmp_path / "shapes.json"
-    path.write_text(geojson("EPSG:3857"))
+    path.write_text(geojson("EPSG:2154"))
     with pytest.raises(Exception, match="unsupported reference system"):
         read_shapes(spark, str(path)).collect()
 
 
+def test_mercator_shapes_are_turned_into_degrees(spark, tmp_path):
+    corners = [(0.0, 0.0), (179.5, 85.0), (-120.25, -60.5), (13.4, 52.5), (0.0, 0.0)]
+    table = spark.createDataFrame(corners, "lon double, lat double")
+    metres = table.select(*[c.alias(n) for c, n in zip(shapes_source.degrees_to_mercator(F.col("lon"), F.col("lat")), "xy")]).collect()
+    ring = [[r.x, r.y] for r in metres]
+    assert ring[1][0] == pytest.approx(19981848.597, abs=1e-3) and ring[1][1] == pytest.approx(19971868.880, abs=1e-3)
+    feature = {"type": "Feature", "properties": {"geoNameId": "1"}, "geometry": {"type": "Polygon", "coordinates": [ring]}}
+    crs = {"type": "name", "properties": {"name": "EPSG:3857"}}
+    for name, doc in (("head", {"type": "FeatureCollection", "crs": crs, "features": [feature]}), ("end", {"type": "FeatureCollection", "features": [feature, feature], "crs": crs})):
+        (tmp_path / f"{name}.json").write_text(json.dumps(doc))
+    plain = {"type": "FeatureCollection", "features": [{**feature, "geometry": {"type": "Polygon", "coordinates": [corners]}}]}
+    (tmp_path / "plain.json").write_text(json.dumps(plain))
+    got = read_shapes(spark, str(tmp_path)).collect()
+    assert len(got) == 4
+    for r in got:
+        assert [x for p in r.polygons[0][0] for x in p] == pytest.approx([x for p in corners for x in p], abs=1e-9)
+
+
+def test_one_large_file_of_shapes_is_read_by_several_tasks(spark, tmp_path):
+    features = [
+        {"type": "Feature", "id": i, "properties": {"name": 'a "Feature" é { [', "geoNameId": str(i)},
+         "geometry": {"type": "Polygon", "coordinates": [[[i, 0.5], [i + 1, 0.5], [i + 1, 1.5 + j / 7], [i, 0.5]] for j in range(40)]}}
+        for i in range(2000)
+    ]
+    features += [{"type": "Feature", "properties": None, "geometry": None}, {"type": "Feature", "properties": {"geoNameId": "9"}, "geometry": {"type": "Point", "coordinates": [1, 2]}}]
+    want = [(f["properties"]["geoNameId"], [f["geometry"]["coordinates"]]) for f in features[:2000]]
+    for indent in (None, 1):
+        path = tmp_path / f"indent{indent}.json"
+        path.write_text(json.dumps({"type": "FeatureCollection", "name": "x", "features": features, "bbox": [0, 0, 1, 1]}, indent=indent, ensure_ascii=False))
+        usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(path.stat().st_size // 5))
+        shapes = read_shapes(spark, str(path))
+        assert shapes.rdd.getNumPartitions() >= 4
+        got = sorted(((r.geoNameId, r.polygons) for r in shapes.collect()), key=lambda r: int(r[0]))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+        assert got == want
+    lines = tmp_path / "lines.geojsonl"
+    lines.write_text("\n".join(json.dumps(f) for f in features) + "\n\n")
+    assert sorted(((r.geoNameId, r.polygons) for r in read_shapes(spark, str(lines), lines=True).collect()), key=lambda r: int(r[0])) == want
+    broken = tmp_path / "broken.json"
+    broken.write_text('{"type":"FeatureCollection","features":[{"type":"Feature","properties":{"geoNameId":"1"},"geometry":{"type":"Polygon","coordinates":[[[0,')
+    with pytest.raises(Exception, match="unreadable feature"):
+        read_shapes(spark, str(broken)).collect()
+
+
 def test_archives(spark, tmp_path):
     for stem in ("AA", "BB"):
         with zipfile.ZipFile(tmp_path / f"{stem}.zip", "w") as z:
