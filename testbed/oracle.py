@@ -192,6 +192,11 @@ _CLEAN_VALUES = f"""
 _CLEAN = f"""SELECT {_PLACE_TEXT}, round(coalesce(lat, 0.0), 6) AS latitude,
                     round(coalesce(lon, 0.0), 6) AS longitude FROM clean"""
 
+# Corners of a shape's outline and hole.
+_CORNERS = """
+    (VALUES (0, 0, 0, 0), (0, 1, 10, 0), (0, 2, 10, 10), (0, 3, 0, 10), (0, 4, 0, 0),
+            (1, 0, 4, 4), (1, 1, 6, 4), (1, 2, 6, 6), (1, 3, 4, 6), (1, 4, 4, 4)) v(ring, vertex, dx, dy)"""
+
 # The offset (dx, dy) of a facility lies strictly inside the 64-sided buffer of radius 2;
 # a hair off the rim counts as on it, so rounding decides nothing.
 _IN_POLYGON = """sqrt(dx * dx + dy * dy) * cos(
@@ -276,6 +281,15 @@ def oracle_sql() -> dict[str, str]:
                    split_part('http://example.org/dump/' || '/' || link, '//', -1) AS file_name
             FROM links WHERE length(split_part(link, '.', 1)) = 3""",
         "clean_places": _sql("", _CLEAN, clean=_CLEAN_VALUES),
+        "refreshed_places": _sql("", _CLEAN, clean=_CLEAN_VALUES),
+        "refreshed_counts": _sql(
+            "", "SELECT country_code, feature_code, count(*) AS n FROM clean GROUP BY ALL", clean=_CLEAN_VALUES
+        ),
+        "geojson_shapes": _sql(
+            "shape_boxes",
+            """SELECT geonameid, v.ring::BIGINT AS ring, v.vertex::BIGINT AS vertex, round(x + dx, 6) AS lon, round(y + dy, 6) AS lat
+               FROM shape_boxes, """ + _CORNERS,
+        ),
         "clean_places_located": _sql(
             "", _CLEAN + " WHERE lat IS NOT NULL AND lon IS NOT NULL", clean=_CLEAN_VALUES
         ),
@@ -359,9 +373,7 @@ def oracle_sql() -> dict[str, str]:
             """SELECT c.geonameid, c.country_code, c.feature_class, v.ring::BIGINT AS ring, v.vertex::BIGINT AS vertex,
                       round(x + dx, 6) AS lon, round(y + dy, 6) AS lat,
                       round(scaled_index, 6) AS scaled_index
-               FROM shape_boxes s JOIN scaled c ON s.geonameid = c.geonameid,
-                 (VALUES (0, 0, 0, 0), (0, 1, 10, 0), (0, 2, 10, 10), (0, 3, 0, 10), (0, 4, 0, 0),
-                         (1, 0, 4, 4), (1, 1, 6, 4), (1, 2, 6, 6), (1, 3, 4, 6), (1, 4, 4, 4)) v(ring, vertex, dx, dy)""",
+               FROM shape_boxes s JOIN scaled c ON s.geonameid = c.geonameid, """ + _CORNERS,
         ),
         "class_distribution": _sql("distribution", "SELECT * FROM distribution"),
         "class_share": _sql(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +17,8 @@ from placelens.operators.density import density_grid
 from placelens.operators.radius import count_within
 from placelens.plans import analyses
 from placelens.sources.links import page_links
-from placelens.sources.shapes import keyed_shapes
+from placelens.sources.shapes import keyed_shapes, read_shapes
+from placelens.streaming import refresh
 from testbed import adapters as t
 
 DIGITS = 6
@@ -112,6 +115,59 @@ def clean_places_located(spark, sf):
     return _rounded(clean_places(t.raw_places(spark, sf), drop_unlocated=True))
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder that executors share; without the cluster's setting a temporary one, in local mode only."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="placelens-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _store(spark, sf) -> str:
+    """A store refreshed from raw dump files, which are the raw places written as tab-separated text."""
+    dump, store = _folder(spark, "dump"), _folder(spark, "store")
+    text = t.raw_places(spark, sf).write.option("sep", "\t").option("quote", "")
+    text.option("emptyValue", "").option("nullValue", "").csv(dump)
+    refresh.refresh_changed(spark, dump, store)
+    return store
+
+
+@_query
+def refreshed_places(spark, sf):
+    return _rounded(refresh.read_places(spark, _store(spark, sf)))
+
+
+@_query
+def refreshed_counts(spark, sf):
+    return refresh.read_counts(spark, _store(spark, sf))
+
+
+@_query
+def geojson_shapes(spark, sf):
+    """Every corner of the shapes, after they were written as GeoJSON features and read back."""
+    shapes, folder = t.country_shapes(spark, sf), _folder(spark, "geojson")
+    feature = F.struct(
+        F.lit("Feature").alias("type"),
+        F.struct("geoNameId").alias("properties"),
+        F.struct(F.lit("MultiPolygon").alias("type"), F.col("polygons").alias("coordinates")).alias("geometry"),
+    )
+    shapes.select(F.to_json(feature).alias("value")).write.text(folder)
+    back = keyed_shapes(read_shapes(spark, folder, lines=True))
+    rings = back.select("geonameid", F.posexplode(F.flatten("polygons")).alias("ring", "positions"))
+    corners = rings.select("geonameid", "ring", F.posexplode("positions").alias("vertex", "position"))
+    return _rounded(
+        corners.select(
+            "geonameid",
+            F.col("ring").cast("bigint").alias("ring"),
+            F.col("vertex").cast("bigint").alias("vertex"),
+            F.get("position", F.lit(0)).alias("lon"),
+            F.get("position", F.lit(1)).alias("lat"),
+        )
+    )
+
+
 # Filters and lookups.
 
 
