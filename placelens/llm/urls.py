@@ -10,9 +10,13 @@ All features are SQL expressions and the trees are Spark ML's; no Python runs on
 counted over all labelled urls, by part with partial sums, and joined by part; a kind of at most ``MOST_PARTS`` parts
 is broadcast. The trees alone are fitted on at most ``sample`` labelled urls, those with the smallest hash.
 
+A url that is learned from must not see its own label in its statistics: they are those of the other ``FOLDS - 1`` folds of urls.
+And as most urls to judge come from folders without a label, half of those learned from, by hash, are shown as
+if theirs had none, so that the trees also learn what host endings and characters say by themselves.
+
 Edge cases: a null url, or one without ``://``, has an empty host and path, fits no rule and is judged by the trees as
-an empty text; without labels, or with labels of one kind, every url is allowed or gets that kind; repeated rows get
-the same verdict; an empty table gives no rows; other columns don't matter.
+an empty text; without labels, or with labels of one kind, every url is allowed or gets that kind; a probability of 0.5
+blocks; repeated rows get the same verdict; a very long url is judged whole; an empty table gives no rows; other columns don't matter.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ SAMPLE = 20_000
 MOST_PARTS = 20_000
 TREES, DEPTH = 12, 4
 PRIOR = 20.0
+FOLDS = 5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FEATURES = (
     "n_url n_host n_path depth labels digits digit_share entropy params signs has_www secure suffix_n suffix_share "
@@ -89,26 +94,36 @@ def suffixes(host: Column, path: Column) -> dict[str, Column]:
     return {"suffix": last, "domain": F.substring_index(host, ".", -2), "folder": folder}
 
 
+def fold_of(url: Column) -> Column:
+    return F.pmod(F.xxhash64(url), F.lit(FOLDS)).cast("int")
+
+
 class UrlModel:
     """Fitted trees with the suffix statistics that they read."""
 
     def __init__(self, statistics: DataFrame, sizes: dict[str, int], overall: float, trees: GBTClassificationModel | None):
         self.statistics, self.sizes, self.overall, self.trees = statistics, sizes, overall, trees
 
-    def featured(self, urls: DataFrame) -> DataFrame:
-        """``urls`` (url, host, path and more) with all features."""
+    def featured(self, urls: DataFrame, learned: bool = False) -> DataFrame:
+        """``urls`` (url, host, path and more) with all features; learned: without what the urls' own labels say."""
         out = urls.select("*", *[v.alias(k) for k, v in lexical(F.col("url"), F.col("host"), F.col("path")).items()])
         for name, part in suffixes(F.col("host"), F.col("path")).items():
-            share = (F.col("bad") + PRIOR * self.overall) / (F.col("n") + PRIOR)
-            side = self.statistics.where(F.col("kind") == name).select(
-                F.col("part").alias("_part"), F.col("n").cast("double").alias(f"{name}_n"), share.alias(f"{name}_share")
-            )
-            if self.sizes.get(name, 0) <= MOST_PARTS:
-                side = F.broadcast(side)
-            out = out.join(side, part == F.col("_part"), "left").drop("_part")
-        return out.fillna(0.0, ["suffix_n", "domain_n", "folder_n"]).fillna(
-            self.overall, ["suffix_share", "domain_share", "folder_share"]
-        )
+            of_kind = self.statistics.where(F.col("kind") == name)
+            totals = of_kind.groupBy(F.col("part").alias("_part")).agg(F.sum("n").alias("_n"), F.sum("bad").alias("_bad"))
+            small = self.sizes.get(name, 0) <= MOST_PARTS
+            out = out.join(F.broadcast(totals) if small else totals, part == F.col("_part"), "left").drop("_part")
+            n, bad = (F.coalesce(c, F.lit(0)) for c in ("_n", "_bad"))
+            if learned:
+                own = of_kind.select(F.col("part").alias("_part"), F.col("fold").alias("_fold"), F.col("n").alias("_own_n"), F.col("bad").alias("_own_bad"))
+                same = (part == F.col("_part")) & (fold_of(F.col("url")) == F.col("_fold"))
+                out = out.join(F.broadcast(own) if small else own, same, "left").drop("_part", "_fold")
+                n, bad = n - F.coalesce("_own_n", F.lit(0)), bad - F.coalesce("_own_bad", F.lit(0))
+                if name == "folder":
+                    shown = (F.pmod(F.xxhash64("url", F.lit(1)), F.lit(2)) == 0).cast("int")
+                    n, bad = n * shown, bad * shown
+            share = (bad + PRIOR * self.overall) / (n + PRIOR)
+            out = out.withColumns({f"{name}_n": n.cast("double"), f"{name}_share": share}).drop("_n", "_bad", "_own_n", "_own_bad")
+        return out
 
     def block_share(self, urls: DataFrame) -> DataFrame:
         """``urls`` with ``p_block``, the trees' probability that a url is to be blocked."""
@@ -125,9 +140,8 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, trees: int = TREES, depth: in
     labelled = labelled.where("blocked is not null").select("url", "host", "path", "blocked")
     parts = [F.struct(F.lit(k).alias("kind"), v.alias("part")) for k, v in suffixes(F.col("host"), F.col("path")).items()]
     statistics = materialize(
-        labelled.select(F.explode(F.array(*parts)).alias("p"), "blocked").groupBy("p.kind", "p.part").agg(
-            F.count("*").alias("n"), F.sum("blocked").alias("bad")
-        ),
+        labelled.select(F.explode(F.array(*parts)).alias("p"), fold_of(F.col("url")).alias("fold"), "blocked")
+        .groupBy("p.kind", "p.part", "fold").agg(F.count("*").alias("n"), F.sum("blocked").alias("bad")),
         "suffixes",
     )
     sums = statistics.groupBy("kind").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum("bad").alias("bad")).collect()
@@ -136,7 +150,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, trees: int = TREES, depth: in
     picked = materialize(labelled.orderBy(F.xxhash64("url"), "url", "blocked").limit(sample), "labelled")
     n, bad = picked.agg(F.count("*"), F.coalesce(F.sum("blocked"), F.lit(0))).first()
     if 0 < bad < n:
-        rows = VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(model.featured(picked))
+        rows = VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(model.featured(picked, learned=True))
         rows = materialize(rows.select("_features", F.col("blocked").cast("double").alias("label")), "features").coalesce(2)
         model.trees = GBTClassifier(
             featuresCol="_features", labelCol="label", maxIter=trees, maxDepth=depth, maxBins=32, seed=3

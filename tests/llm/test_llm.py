@@ -258,6 +258,39 @@ def test_trees_on_held_out_urls(spark):
     assert "Python" not in urls.judge(pages, RULES, model)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_trees_judge_urls_of_folders_without_labels(spark):
+    """Lexical features count, urls that no rule decides are told apart, and labels of unseen folders are found by them."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    got = urls.judge(pages, RULES).where("rule is null").toPandas()
+    assert len(got) > 100 and got.p_block.round(3).nunique() > 10
+    r = random.Random(3)
+    rows = []
+    for i in range(3000):
+        bad = i % 2
+        slug = "".join(r.choice("0123456789" if bad and r.random() < 0.6 else "abcdefgh") for _ in range(12))
+        query = "?" + "&".join(f"k{j}={r.randrange(99)}" for j in range(r.randrange(3, 7))) if bad else ""
+        rows.append((f"http://s{r.randrange(9)}.org/f{i % 40}/{slug}{query}", "s.org", f"/f{i % 40}/{slug}", bad if r.random() < 0.97 else 1 - bad))
+    table = spark.createDataFrame(rows, "url string, host string, path string, blocked int")
+    known = urls.F.regexp_extract("path", "/f([0-9]+)/", 1).cast("int") < 30
+    model = urls.fit(table.where(known))
+    weights = model.trees.featureImportances.toArray()
+    assert sum(w > 0.01 for w, n in zip(weights, urls.FEATURES, strict=True) if not n.endswith(("_n", "_share"))) >= 2
+    held = model.block_share(table.where(~known)).toPandas()
+    assert ((held.p_block >= 0.5) == held.blocked).mean() > 0.9
+
+
+def test_a_learned_url_does_not_see_its_own_label(spark):
+    rows = [(f"http://only{i}.net/f{i}/x", f"only{i}.net", f"/f{i}/x", i % 2) for i in range(60)]
+    labelled = spark.createDataFrame(rows, "url string, host string, path string, blocked int")
+    model = urls.fit(labelled)
+    seen = model.featured(labelled, learned=True).collect()
+    assert {(r.domain_n, r.folder_n) for r in seen} == {(0.0, 0.0)} and {r.domain_share for r in seen} == {0.5}
+    fold = {r.url: r.fold for r in labelled.select("url", urls.fold_of(urls.F.col("url")).alias("fold")).collect()}
+    for r in seen:
+        others = [b for u, _, _, b in rows if fold[u] != fold[r.url]]
+        assert r.suffix_n == len(others) and math.isclose(r.suffix_share, (sum(others) + 10) / (len(others) + 20))
+
+
 def test_url_statistics_are_of_all_labels(spark, monkeypatch):
     rows = [(f"http://a{i % 50}.net/f{i % 3}/{i}", f"a{i % 50}.net", f"/f{i % 3}/{i}", int(i % 50 < 20)) for i in range(400)]
     labelled = spark.createDataFrame(rows, "url string, host string, path string, blocked int")
