@@ -20,3 +20,8 @@ def write_archive_lines(lines: DataFrame, path: str, mode: str = "overwrite") ->
     """Gzip text, one folder per archive, lines exactly as they were in the archive."""
     balanced = lines.select("archive", "line").hint("rebalance", "archive")
     balanced.write.mode(mode).partitionBy("archive").option("compression", "gzip").text(path)
+
+
+def write_quarantine(bad: DataFrame, path: str, mode: str = "append") -> None:
+    """Lines that don't fit a schema, as Parquet with the file each comes from, to be looked at and read again."""
+    bad.select("file", "bad_line").hint("rebalance").write.mode(mode).parquet(path)

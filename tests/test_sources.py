@@ -49,6 +49,34 @@ def test_raw_quote_is_ordinary(spark, raw_dir):
     assert got[1].modification_date == dt.date(2020, 2, 3)
 
 
+def test_bad_lines_are_set_aside_and_counted(spark, tmp_path):
+    good = [raw_line(1), raw_line(2, name='"Unbalanced'), raw_line(3, lat="", pop="", elev="")]
+    bad = ["x\tTown", raw_line("four"), raw_line(5, lat="north"), raw_line(6, date="2020-13-45"), raw_line(7) + "\tmore", "no tabs at all"]
+    (tmp_path / "AA.csv").write_text("\n".join([*good[:2], "", *bad]) + "\n")
+    with gzip.open(tmp_path / "BB.csv.gz", "wt") as f:
+        f.write(good[2] + "\n")
+    checked = tables.read_checked(spark, str(tmp_path))
+    kept, aside = tables.good_rows(checked), tables.bad_rows(checked)
+    assert kept.columns == tables.read_raw_places(spark, str(tmp_path)).columns
+    assert sorted(r.geonameid for r in kept.collect()) == [1, 2, 3]
+    assert sorted(r.bad_line for r in aside.collect()) == sorted(bad)
+    assert rows(kept, "name") == [("\"Unbalanced",), ("Town",), ("Town",)]
+    assert kept.orderBy("geonameid").collect() == tables.read_raw_places(spark, str(tmp_path)).where("geonameid in (1, 2, 3)").orderBy("geonameid").collect()
+    counts = {r.file.rsplit("/", 1)[-1]: (r.n_lines, r.n_bad) for r in tables.line_counts(checked).collect()}
+    assert counts == {"AA.csv": (8, 6), "BB.csv.gz": (1, 0)}
+    sinks.write_quarantine(aside, str(tmp_path / "quarantine"))
+    again = spark.read.parquet(str(tmp_path / "quarantine"))
+    assert again.count() + kept.count() == len(good) + len(bad) and again.columns == ["file", "bad_line"]
+
+
+def test_bad_lines_of_a_dimension(spark, tmp_path):
+    path = tmp_path / "info.csv"
+    path.write_text('Aland,Capital,10,20,EU,1,"BB,CC"\nBland,Capital,wide,20,EU,2,\nCland,Capital\n')
+    checked = tables.read_checked(spark, str(path), schemas.COUNTRY_INFO, raw=False)
+    assert [(r.country, r.neighbours) for r in tables.good_rows(checked).collect()] == [("Aland", "BB,CC")]
+    assert len(tables.bad_rows(checked).collect()) == 2
+
+
 def test_cleaning_fills(spark, raw_dir):
     clean = clean_places(tables.read_raw_places(spark, raw_dir))
     assert clean.columns == [c.split()[0] for c in schemas.CLEAN_PLACES.split(", ")]
