@@ -8,11 +8,10 @@ the rim cuts are opened: into smaller boxes, at last into single locations.
 * Equal coordinates collapse into one weighted location on both sides before anything
   is joined, so a pile of copies (such as places without coordinates, all at 0/0) costs
   one row.
-* The boxes inside one box form one row with a short array: at most splits^d of them,
-  whatever the data. A key is therefore unique on the facility side. Base points that
-  share a hot key are joined in one task: adaptive execution splits the last join, not
-  those with the boxes.
-* All joins are equi-joins on box keys.
+* The depth comes from the data: boxes are split until the fullest holds a few locations,
+  so a key meets at most that many, or splits^d boxes, on the facility side.
+* All joins are equi-joins on box keys, each between two plain shuffles, so adaptive
+  execution splits the base points that share a hot box or a hot location over many tasks.
 """
 
 from __future__ import annotations
@@ -32,6 +31,11 @@ FINITE = "abs(lon) < double('infinity') AND abs(lat) < double('infinity')"
 # Grid steps are a hair wider than the reach, and boxes within a hair of the rim are
 # opened, so rounding in cell numbers and box tests never decides a point.
 SLACK = 1e-9
+# Each level cuts a box into this many a side, until no box holds more than CROWD
+# locations or boxes are too small to tell: then the last join meets what is left.
+SPLIT = 4
+CROWD = 32
+DEEPEST = 7
 
 
 def count_within(
@@ -40,7 +44,7 @@ def count_within(
     radius: float = 2.0,
     metric: str = "polygon_deg",
     match_country: bool = True,
-    splits: tuple[int, ...] = (4, 4),
+    splits: tuple[int, ...] | None = None,
 ) -> DataFrame:
     """``base`` with ``n_within``: facilities strictly inside the disc around each row.
 
@@ -49,20 +53,22 @@ def count_within(
     or ``km``. Every base row stays, with 0 where nothing is near. Facilities and base rows with a
     null, NaN or infinite coordinate are near nothing. All columns of ``base`` stay.
 
-    ``splits`` says how finely each level divides the boxes of the one before it; add a
-    level where a disc holds more than some ten thousand distinct facility locations.
+    ``splits`` says how finely each level divides the boxes of the one before it. Without it,
+    one job over the facilities finds how deep to go; it brings a few numbers to the driver.
     """
     disc = Disc(metric, radius)
     tags = free_names([f"_{name}" for name in PLACE], base)
     place = _place_columns(match_country)
     base = base.withColumns({tag: place[name] for tag, name in zip(tags, PLACE)})
+    locations = _weighted_locations(facilities, match_country)
     counts = _counts_by_location(
         base.select(*[F.col(tag).alias(name) for tag, name in zip(tags, PLACE)]).filter(FINITE).distinct(),
-        _weighted_locations(facilities, match_country),
+        locations,
         disc,
-        splits,
+        (SPLIT,) * needed_depth(locations, disc) if splits is None else splits,
     )
-    counts = counts.withColumnsRenamed(dict(zip(PLACE, tags)))
+    # A shuffle of its own: adaptive execution splits a hot location only between two shuffles.
+    counts = counts.withColumnsRenamed(dict(zip(PLACE, tags))).repartition(*tags)
     return (
         base.join(counts, tags, "left")
         .drop(*tags)
@@ -88,6 +94,29 @@ def _weighted_locations(facilities: DataFrame, match_country: bool) -> DataFrame
     )
 
 
+def needed_depth(locations: DataFrame, disc: Disc) -> int:
+    """How many levels bring the fullest box down to ``CROWD`` locations, from 1 to ``DEEPEST``.
+
+    Each location counts once for its box at every level; partial sums go through one shuffle, a row a level comes back.
+    """
+    cells = [f"cell{i}" for i in range(disc.dimensions)]
+    finest = disc.reach * (1 + SLACK) / SPLIT**DEEPEST
+    at = disc.coordinates(F.col("lon"), F.col("lat"))
+    smallest = locations.select("area", *[F.floor(a / finest).alias(c) for a, c in zip(at, cells)])
+    boxes = [
+        f"struct({level} AS level, " + ", ".join(f"floor({c} / {SPLIT ** (DEEPEST - level)}) AS {c}" for c in cells) + ")"
+        for level in range(1, DEEPEST)
+    ]
+    counted = (
+        smallest.select("area", F.expr(f"inline(array({', '.join(boxes)}))"))
+        .groupBy("area", "level", *cells)
+        .count()
+        .groupBy("level")
+        .agg(F.max("count").alias("fullest"))
+    )
+    return 1 + counted.where(F.col("fullest") > CROWD).agg(F.coalesce(F.max("level"), F.lit(0))).first()[0]
+
+
 def _counts_by_location(
     base: DataFrame, facilities: DataFrame, disc: Disc, splits: tuple[int, ...]
 ) -> DataFrame:
@@ -123,7 +152,8 @@ def _counts_by_location(
     frontier = _nearby_cells(base, key(0))
     settled = []
     for level in range(1, len(splits) + 1):
-        opened = _open(frontier, _boxes(facilities, key(level - 1), key(level), at))
+        parent = key(level - 1)
+        opened = frontier.join(_boxes(facilities, parent, key(level), at), ["area", *parent])
         settled.append(opened.filter(_whole_box_inside(disc, at)).select(*PLACE, "weight"))
         cut = opened.filter(_rim_cuts_crowded_box(disc, at))
         frontier = cut.select(*PLACE, *at, *key(level))
@@ -152,7 +182,7 @@ def _nearby_cells(base: DataFrame, cells: list[str]) -> DataFrame:
 
 
 def _boxes(facilities: DataFrame, parent: list[str], own: list[str], at: list[str]) -> DataFrame:
-    """Per parent cell, an array of its occupied cells one level down.
+    """The occupied cells one level below each parent cell.
 
     Of each: bounding box, number of locations, total weight, and a location (the only
     one, if there is one).
@@ -160,26 +190,13 @@ def _boxes(facilities: DataFrame, parent: list[str], own: list[str], at: list[st
     bounds = [
         agg(a).alias(f"{side}_{a}") for a in at for side, agg in (("low", F.min), ("high", F.max))
     ]
-    boxes = facilities.groupBy("area", *parent, *own).agg(
+    return facilities.groupBy("area", *parent, *own).agg(
         F.count("*").alias("locations"),
         F.sum("weight").alias("weight"),
         F.min("lon").alias("box_lon"),
         F.min("lat").alias("box_lat"),
         *bounds,
     )
-    fields = [c for c in boxes.columns if c not in ("area", *parent)]
-    return boxes.groupBy("area", *parent).agg(F.collect_list(F.struct(*fields)).alias("boxes"))
-
-
-def _open(frontier: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Each frontier row once per box inside its cell."""
-    cell = [c for c in boxes.columns if c != "boxes"]
-    own = [c for c in frontier.columns if c not in cell or c == "area"]
-    return (
-        frontier.join(boxes, cell)
-        .select(*own, F.explode("boxes").alias("box"))
-        .select(*own, "box.*")
-    )
 
 
 # Squared distances to the nearest and farthest corner of a box, as SQL text: the same

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from placelens.functions.geometry import Disc, haversine_km, ring
 from placelens.operators.containment import CAPACITY, outline_cells, points_in_shapes
 from placelens.operators.density import density_grid
-from placelens.operators.radius import count_within
+from placelens.operators.radius import _weighted_locations, count_within, needed_depth
 from tests.conftest import plan_of, rows
 
 POINT = "id BIGINT, country_code STRING, longitude DOUBLE, latitude DOUBLE"
@@ -136,6 +136,43 @@ def test_unknown_metric_and_radius():
         Disc("km", 0)
 
 
+def test_radius_depth_comes_from_the_data(spark):
+    r = random.Random(11)
+    disc = Disc("circle_deg", 1.0)
+    sparse = [("A", r.uniform(-9, 9), r.uniform(-9, 9)) for _ in range(60)]
+    # Forty times as many in a hundredth of a box's side, and one point many times, which is one location.
+    dense = [("A", 0.5 + r.uniform(0, 0.01), 0.5 + r.uniform(0, 0.01)) for _ in range(2400)] + [("A", 3.0, 3.0)] * 500
+    depths = [needed_depth(_weighted_locations(points(spark, p), True), disc) for p in (sparse, sparse + dense)]
+    assert depths[0] == 1 and depths[1] >= 4
+    assert needed_depth(_weighted_locations(points(spark, sparse).limit(0), True), disc) == 1
+    base, near = points(spark, sparse + dense[::40]), points(spark, sparse + dense)
+    assert counts(count_within(base, near, 1.0, "circle_deg")) == brute(base, near, disc)
+
+
+def test_hot_box_of_base_points_is_split(spark):
+    small = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "20k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+    }
+    before = {key: spark.conf.get(key, None) for key in small}
+    ids = spark.range(40_000).select("id", F.lit("A").alias("country_code"))
+    base = ids.select("*", (F.rand(1) * 0.01 + 1).alias("longitude"), (F.rand(2) * 0.01 + 1).alias("latitude"))
+    near = ids.limit(40).select("country_code", (F.col("id") / 20).alias("longitude"), (F.col("id") / 20).alias("latitude"))
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        counted = count_within(base, near, 0.9, "circle_deg", splits=(4,))
+        assert len(counted.collect()) == 40_000
+        assert "SortMergeJoin(skew=true)" in plan_of(counted).split("Initial Plan")[0]
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_haversine(spark):
     df = spark.range(1).select(haversine_km(F.lit(0.0), F.lit(0.0), F.lit(180.0), F.lit(0.0)).alias("d"))
     assert df.first().d == pytest.approx(math.pi * 6371.0088)
