@@ -293,6 +293,10 @@ def oracle_sql() -> dict[str, str]:
         "clean_places_located": _sql(
             "", _CLEAN + " WHERE lat IS NOT NULL AND lon IS NOT NULL", clean=_CLEAN_VALUES
         ),
+        "clustered_places_in_box": _sql(
+            "places",
+            f"SELECT {_PLACE} FROM places WHERE longitude BETWEEN -61.0 AND -55.2502 AND latitude BETWEEN -36.0 AND -30.2502",
+        ),
         "places_in_country": _sql("places", f"SELECT {_PLACE} FROM places WHERE country_code = '19'"),
         "places_by_class": _sql(
             "enriched",

@@ -16,6 +16,7 @@ from placelens.operators.containment import points_in_shapes
 from placelens.operators.density import density_grid
 from placelens.operators.radius import count_within
 from placelens.plans import analyses
+from placelens.sources import clustered
 from placelens.sources.links import page_links
 from placelens.sources.shapes import keyed_shapes, read_shapes
 from placelens.streaming import refresh
@@ -25,6 +26,7 @@ DIGITS = 6
 BASE_URL = "http://example.org/dump/"
 COUNTRY_CODE = "19"
 COUNTRY, CLASS = "NATION_19", "P"
+BOX = (-61.0, -36.0, -55.2502, -30.2502)
 DENSITY_CELLS = 100
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,6 +170,14 @@ def geojson_shapes(spark, sf):
     )
 
 
+@_query
+def clustered_places_in_box(spark, sf):
+    """Places of one region, after all were written along a space-filling curve."""
+    folder = _folder(spark, "clustered")
+    clustered.write_clustered(t.places(spark, sf), folder)
+    return _rounded(clustered.in_box(clustered.read_clustered(spark, folder), *BOX))
+
+
 # Filters and lookups.
 
 
