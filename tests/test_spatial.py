@@ -168,6 +168,13 @@ def test_hot_box_of_base_points_is_split(spark):
         counted = count_within(base, near, 0.9, "circle_deg", splits=(4,))
         assert len(counted.collect()) == 40_000
         assert "SortMergeJoin(skew=true)" in plan_of(counted).split("Initial Plan")[0]
+        # Half of all rows at one location meet its count in the last join, the first of the plan's text.
+        half = F.when(F.col("id") % 2 == 0, 1.0).otherwise(F.col("longitude") * 20)
+        wide = base.select("country_code", half.alias("longitude"), F.lit(1.0).alias("latitude"), F.sha2(F.col("id").cast("string"), 256))
+        counted = count_within(wide, near, 0.9, "circle_deg", splits=(4,))
+        assert len(counted.collect()) == 40_000
+        joins = [line for line in plan_of(counted).split("Initial Plan")[0].splitlines() if "SortMergeJoin" in line]
+        assert "skew=true" in joins[0]
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
