@@ -6,10 +6,11 @@ n-gram of level q is put into a Bloom filter q times, as (n-gram, 1) .. (n-gram,
 (n-gram, 1), (n-gram, 2), .. are probed until one is missing; so a false positive rarely adds
 more than one level.
 
-Every n-gram of the training texts is kept, so the filters grow with the corpus. They are tables of segments; at most
-``MOST_SEGMENTS`` (128 MiB) are broadcast at a time. A larger model is probed part by part: each pass over the texts
-reads the levels of the n-grams whose segments are at hand and keeps a byte a token and order. Counting is
-over all training texts, by key, with partial sums.
+Every n-gram of the training texts is kept, so the filters grow with the corpus. They are tables of segments, of which no
+task holds more than ``GROUP``. Counting is over all training texts, by key. A score's n-grams go to their segments: texts
+are packed into chunks, each chunk sends its distinct n-grams to the groups of segments that hold them, and gets their
+levels back in the same order. Keys travel sorted and packed, not as rows; an order at a time, and a step's shuffle files
+go when it is written. ``filters`` has the bits themselves of models of at most ``MOST_SEGMENTS`` (128 MiB).
 
 P_n(w | h) = (1 - weight) P_{n-1}(w | h') + weight * c(h w) / c(h) where h is in the filter, with the
 level's lowest count above and the highest below, else P_{n-1}. P_1 shares what rare words hold evenly among
@@ -24,16 +25,27 @@ token; a null id counts as the empty text where it is hashed; repeated rows are
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import uuid
+import zlib
+from collections.abc import Iterator
+from dataclasses import dataclass, field, replace
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placelens.llm import shared as s
 
 MOST_SEGMENTS = 1 << 10
+GROUP = 1 << 5  # segments that a task holds at a time
+TOGETHER = 1 << 22  # n-grams that a counting task sorts at a time
+BUCKET = 1 << 19  # training tokens for each bucket of keys
+PIECE = 1 << 17  # bytes of text that are cut into words at a time, so that their arrays stay in the cache
+CHUNK = 1 << 23  # bytes of text whose n-grams are asked for together
+ASKED = 1 << 23  # n-grams that a group of segments answers in a task, about
 EXACT = 2.0**-19
 BASE = 1.4
 WEIGHTS = (0.15, 0.4)
@@ -50,6 +62,21 @@ def _sequence(words: s.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, text, place
 
 
+def _pieces(texts: pa.Array) -> Iterator[s.Words]:
+    for piece in s.chunks(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), "text", PIECE):
+        yield s.Words(piece.column("text"))
+
+
+def _tokens(texts: pa.Array) -> tuple[np.ndarray, ...]:
+    """:func:`_sequence` of all texts, at least one."""
+    parts, before = [], 0
+    for words in _pieces(texts):
+        hashes, text, place = _sequence(words)
+        parts.append((hashes, text + before, place))
+        before += words.texts
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
 def _ngrams(hashes: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
     """Key of the n-gram that ends at each token; one mark stands before a text."""
     at = np.arange(len(hashes))
@@ -69,12 +96,18 @@ class Model:
     weights: tuple[float, ...]
     edge: int = 0
     segments: list[int] = field(default_factory=list)
-    filters: list[np.ndarray] = field(default_factory=list)  # empty if larger than one broadcast
     tables: list[DataFrame] = field(default_factory=list)
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"tables": []}
 
+    @cached_property
+    def filters(self) -> list[np.ndarray]:
+        """Bits of each order; none if they are larger than one broadcast."""
+        if len(self.parts()) > 1:
+            return []
+        return [s.bloom_bits(t, 0, n) for t, n in zip(self.tables, self.segments)]
+
     @property
     def whole(self) -> float:
         return self.tokens + 0.1 * (self.types + 1)
@@ -83,11 +116,17 @@ class Model:
         """Levels of distinct keys, by probes until one is missing; ``bits`` from segment ``first`` on hold the keys' segments."""
         bits = self.filters[order - 1] if bits is None else bits
         level = np.zeros(len(keys), np.int64)
-        alive = np.arange(len(keys))
+        flat, alive = bits.reshape(-1), np.arange(len(keys))
+        start = (s.bloom_segment(keys, self.segments[order - 1]) - first) * s.SEGMENT_BITS
         for i in range(1, len(self.thresholds)):
             if not len(alive):
                 break
-            alive = alive[s.bloom_probe(bits, keys[alive], i, first, self.segments[order - 1])]
+            a, b = s.bloom_steps(keys, i)
+            for step in range(1, s.PROBES + 1):
+                at = start + ((a + np.uint64(step) * b) >> s.PLACE_SHIFT).view(np.int64)
+                there = (flat[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+                if not there.all():
+                    alive, keys, start, a, b = alive[there], keys[there], start[there], a[there], b[there]
             level[alive] = i
         return level
 
@@ -142,22 +181,156 @@ class Model:
         return text, np.log10(probability)
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """:func:`shared.materialize`; the shuffle files of its steps go as soon as it is written."""
+    conf, clean = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(clean, None)
+    conf.set(clean, "true")
+    try:
+        return s.materialize(df, name)
+    finally:
+        if before is None:
+            conf.unset(clean)
+        else:
+            conf.set(clean, before)
+
+
+# Sorted keys travel as their differences, bytes of equal weight together.
+
+
+def _pack(values: np.ndarray) -> bytes:
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    return _pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpack_keys(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(_unpack(data, n), dtype=np.uint64)
+
+
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values begin, and the end."""
+    return np.flatnonzero(np.r_[True, values[1:] != values[:-1], True]) if len(values) else np.zeros(1, np.int64)
+
+
+_PACKED = "part int, size int, keys binary, counts binary"
+
+
+def _packed(part: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """A row for each run of equal parts; keys must ascend in it."""
+    at = _runs(part)
+    runs = list(zip(at[:-1], at[1:]))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(part[at[:-1]], pa.int32()),
+            pa.array(np.diff(at), pa.int32()),
+            pa.array([_pack_keys(keys[a:b]) for a, b in runs], pa.binary()),
+            pa.array([_pack(counts[a:b]) for a, b in runs], pa.binary()),
+        ],
+        ["part", "size", "keys", "counts"],
+    )
+
+
+def _unpacked(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    columns = [batch.column(c).to_pylist() for c in ("size", "keys", "counts")]
+    for size, keys, counts in zip(*columns):
+        yield _unpack_keys(keys, size), _unpack(counts, size).astype(np.int64)
+
+
+def _group_of(keys: np.ndarray, segments: int) -> np.ndarray:
+    # Numbers of 16 bits are sorted in linear time.
+    return (s.bloom_segment(keys, segments) // GROUP).astype(np.uint16 if segments <= GROUP << 16 else np.int32)
+
+
 def _counted(training: DataFrame, n: int) -> DataFrame:
     """(key, n) of the n-grams in the training texts."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hashes, _, place = _sequence(s.Words(batch.column("text")))
-        # From the second order on, a mark before the text is one word of the n-gram at most.
-        keys = _ngrams(hashes, place, n)[(place > 0) | (n <= 2)]
-        keys, count = np.unique(keys, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(s.signed(keys)), pa.array(count)], ["key", "n"])
+        keys = np.sort(_training_keys(batch, n))
+        at = _runs(keys)
+        return pa.RecordBatch.from_arrays([pa.array(s.signed(keys[at[:-1]])), pa.array(np.diff(at))], ["key", "n"])
 
     return s.map_chunks(training, "text", run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
+def _training_keys(batch: pa.RecordBatch, n: int) -> np.ndarray:
+    hashes, _, place = _tokens(batch.column("text"))
+    # From the second order on, a mark before the text is one word of the n-gram at most.
+    return _ngrams(hashes, place, n)[(place > 0) | (n <= 2)]
+
+
+def _leveled(training: DataFrame, n: int, thresholds: np.ndarray, tokens: int) -> DataFrame:
+    """Packed keys and levels of the n-grams in the training texts, and the sum of the levels, a row a bucket of keys."""
+    buckets = np.uint64(-(-tokens // BUCKET) or 1)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for chunk in s.chunks(batches, "text"):
+            held.append(_training_keys(chunk, n))
+            count += len(held[-1])
+            if count >= TOGETHER:
+                yield distinct(held)
+                held, count = [], 0
+        if count:
+            yield distinct(held)
+
+    def distinct(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys = np.sort(np.concatenate(held))
+        at = _runs(keys)
+        keys = keys[at[:-1]]
+        # Buckets are ranges of keys.
+        return _packed(((keys >> np.uint64(32)) * buckets >> np.uint64(32)).astype(np.int32), keys, np.diff(at))
+
+    def add(sent: pa.Table) -> pa.Table:
+        keys, counts = (np.concatenate(x) for x in zip(*_unpacked(sent)))
+        order = np.argsort(keys)
+        keys = keys[order]
+        at = _runs(keys)[:-1]
+        level = np.searchsorted(thresholds[:-1], np.add.reduceat(counts[order], at), side="right")
+        out = pa.Table.from_batches([_packed(np.zeros(len(at), np.int32), keys[at], level)])
+        return out.append_column("held", pa.array([int(level.sum())], pa.int64()))
+
+    sent = training.select("text").mapInArrow(send, _PACKED)
+    return _stored(sent.groupBy("part").applyInArrow(add, f"{_PACKED}, held long"), "levels")
+
+
+def _by_group(keys: np.ndarray, level: np.ndarray, segments: int) -> pa.RecordBatch:
+    """Sorted keys and their levels, packed for the groups of segments."""
+    group = _group_of(keys, segments)
+    order = np.argsort(group, kind="stable")
+    return _packed(group[order], keys[order], level[order])
+
+
+def _filter(entries: DataFrame, segments: int) -> DataFrame:
+    """(segment, bits) of a filter over the packed keys of each group of segments, a level's entries for each key."""
+
+    def fill(key: tuple, sent: pa.Table) -> pa.Table:
+        first = key[0].as_py() * GROUP
+        last = min(segments, first + GROUP)
+        flat = np.zeros((last - first) * s.SEGMENT_BITS, bool)
+        for keys, level in _unpacked(sent):
+            start = (s.bloom_segment(keys, segments) - first) * s.SEGMENT_BITS
+            for salt in range(1, int(level.max(initial=0)) + 1):
+                of = np.flatnonzero(level >= salt)
+                for place in s.bloom_places(keys[of], salt):
+                    flat[start[of] + place.astype(np.int64)] = True
+        bits = np.packbits(flat.reshape(last - first, -1), axis=1, bitorder="little")
+        return pa.table({"segment": pa.array(range(first, last), pa.int32()), "bits": [row.tobytes() for row in bits]})
+
+    return _stored(entries.groupBy("part").applyInArrow(fill, "segment int, bits binary"), "filter")
+
+
 def count_words(training: DataFrame) -> DataFrame:
     """(key, n) of every word and of the end mark in a table with the column text."""
-    return s.materialize(_counted(training, 1), "words")
+    return _stored(_counted(training, 1), "words")
 
 
 def train(training: DataFrame, words: DataFrame, base: float = BASE, weights: tuple[float, ...] = WEIGHTS) -> Model:
@@ -178,78 +351,167 @@ def train(training: DataFrame, words: DataFrame, base: float = BASE, weights: tu
     texts = training.count()
     model.edge = int((thresholds[:-1] <= texts).sum())
     for n in range(1, len(weights) + 2):
-        counts = words if n == 1 else _counted(training, n)
-        leveled = s.materialize(counts.select("key", level.alias("level")), "levels")
-        held = leveled.agg(F.coalesce(F.sum("level"), F.lit(0))).first()[0]
-        model.segments.append(s.segments_for(held))
-        entries = leveled.select("key", F.explode(F.sequence(F.lit(1), "level")).alias("salt"))
-        model.tables.append(s.materialize(s.bloom_table(entries, model.segments[-1]), "filter"))
-    if len(model.parts()) == 1:
-        model.filters = [s.bloom_bits(t, 0, n) for t, n in zip(model.tables, model.segments)]
+        with s.Scope() as scope:
+            if n == 1:
+                leveled = words.select("key", level.alias("level"))
+                held = leveled.agg(F.coalesce(F.sum("level"), F.lit(0))).first()[0]
+            else:
+                leveled = _leveled(training, n, thresholds, tokens)
+                held = leveled.agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0]
+            segments = s.segments_for(held)
+
+            def route(batches: Iterator[pa.RecordBatch], n=n, segments=segments) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    if n > 1:
+                        yield from (_by_group(*pair, segments) for pair in _unpacked(batch))
+                    else:
+                        keys, level = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "level"))
+                        order = np.argsort(keys.view(np.uint64))
+                        yield _by_group(keys.view(np.uint64)[order], level[order], segments)
+
+            model.segments.append(segments)
+            model.tables.append(scope.keep(_filter(leveled.mapInArrow(route, _PACKED), segments)))
     return model
 
 
-def _read_levels(narrow: DataFrame, model: Model) -> DataFrame:
-    """``narrow`` with ``levels``, for each text the bytes of each order, by a pass for each part of the filters."""
-    context, orders = narrow.sparkSession.sparkContext, len(model.segments)
-    schema = narrow.withColumn("levels", F.lit(None).cast("array<binary>")).schema
-    for parts in model.parts():
-        shipped = context.broadcast((model, [(n, a, b, s.bloom_bits(model.tables[n - 1], a, b)) for n, a, b in parts]))
-
-        def run(batch: pa.RecordBatch, shipped=shipped) -> pa.RecordBatch:
-            model, parts = shipped.value
-            words = s.Words(batch.column("text"))
-            hashes, text, place = _sequence(words)
-            levels = np.zeros((orders, len(hashes)), np.uint8)
-            if "levels" in batch.schema.names:
-                levels = _levels_of(batch, orders)
-            for n, first, last, bits in parts:
-                keys, back = np.unique(_ngrams(hashes, place, n), return_inverse=True)
-                segment = s.bloom_segment(keys, model.segments[n - 1])
-                own = np.flatnonzero((segment >= first) & (segment < last))
-                found = np.zeros(len(keys), np.uint8)
-                found[own] = model.levels(n, keys[own], bits, first)
-                levels[n - 1] += found[back]
-            ends = np.cumsum(words.per_text + 1)
-            column = [[row[a:b].tobytes() for row in levels] for a, b in zip(np.r_[0, ends[:-1]], ends)]
-            return pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("id", "row", "text")], pa.array(column, pa.list_(pa.binary()))],
-                ["id", "row", "text", "levels"],
-            )
-
-        narrow = s.materialize(s.map_chunks(narrow, "text", run, schema), "levels")
-        shipped.destroy()
-    return narrow
-
-
-def _levels_of(batch: pa.RecordBatch, orders: int) -> np.ndarray:
-    texts = batch.column("levels").to_pylist()
-    return np.array([np.frombuffer(b"".join(t[n] for t in texts), np.uint8) for n in range(orders)])
+def _chunked(narrow: DataFrame) -> DataFrame:
+    """(chunk, id, row, text): lists of about ``CHUNK`` bytes of text, so that a chunk is one row wherever it is read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in s.chunks(batches, "text"):
+            own = batch.column("text").nbytes
+            if held and size + own > CHUNK:
+                yield pack(held)
+                held, size = [], 0
+            held.append(batch)
+            size += own
+        if held:
+            yield pack(held)
+
+    def pack(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        ends = pa.array([0, table.num_rows], pa.int32())
+        columns = [pa.ListArray.from_arrays(ends, pa.concat_arrays(table.column(c).chunks)) for c in ("id", "row", "text")]
+        chunk = pa.array([uuid.uuid4().hex])
+        return pa.RecordBatch.from_arrays([chunk, *columns], ["chunk", "id", "row", "text"])
+
+    kind = narrow.schema["id"].dataType.simpleString()
+    return _stored(narrow.mapInArrow(run, f"chunk string, id array<{kind}>, row array<long>, text array<string>"), "texts")
+
+
+def _keys_of(pieces: list[tuple[np.ndarray, ...]], n: int) -> np.ndarray:
+    """Key of the n-gram that ends at each token of a chunk."""
+    return np.concatenate([_ngrams(hashes, place, n) for hashes, _, place in pieces])
+
+
+def _asked(keys: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """Groups of distinct, sorted keys, and the keys' order by group: how a chunk asks and reads the answers."""
+    group = _group_of(keys, segments)
+    return group, np.argsort(group, kind="stable")
+
+
+def _levels(chunks: DataFrame, count: int, model: Model, n: int) -> DataFrame:
+    """(chunk, n, part, levels): for each chunk and group of segments the levels of its distinct n-grams, by key."""
+    segments, table, model = model.segments[n - 1], model.tables[n - 1], replace(model, tables=[])
+    groups = -(-segments // GROUP)
+    # With many texts to a small filter, copies of a group share its questions.
+    copies = max(1, round(count * CHUNK / 8 / groups / ASKED))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, texts in zip(batch.column("chunk").to_pylist(), batch.column("text")):
+                keys = np.sort(_keys_of([_sequence(words) for words in _pieces(texts.values)], n))
+                keys = keys[_runs(keys)[:-1]]
+                group, order = _asked(keys, segments)
+                keys, group = keys[order], group[order]
+                at = _runs(group)
+                sent = [_pack_keys(keys[a:b]) for a, b in zip(at[:-1], at[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(group[at[:-1]], pa.int32()),
+                        pa.array([zlib.crc32(chunk.encode()) % copies] * len(sent), pa.int32()),
+                        pa.array([chunk] * len(sent)),
+                        pa.array(np.diff(at), pa.int32()),
+                        pa.array(sent, pa.binary()),
+                    ],
+                    ["part", "copy", "chunk", "size", "keys"],
+                )
+
+    def answer(key: tuple, bits: pa.Table, asked: pa.Table) -> pa.Table:
+        first = key[0].as_py() * GROUP
+        held = np.zeros((GROUP, s.SEGMENT_BITS // 8), np.uint8)
+        for segment, row in zip(bits.column("segment").to_pylist(), bits.column("bits").to_pylist()):
+            held[segment - first] = np.frombuffer(row, np.uint8)
+        each = [_unpack_keys(k, size) for size, k in zip(asked.column("size").to_pylist(), asked.column("keys").to_pylist())]
+        # Common n-grams are asked for by many chunks and have the most levels.
+        keys = np.sort(np.concatenate([*each, np.zeros(0, np.uint64)]))
+        keys = keys[_runs(keys)[:-1]]
+        level = model.levels(n, keys, held, first)
+        found = [_pack(level[np.searchsorted(keys, own)]) for own in each]
+        return pa.table(
+            {
+                "chunk": asked.column("chunk"),
+                "n": pa.array([n] * len(found), pa.int32()),
+                "part": asked.column("part"),
+                "size": asked.column("size"),
+                "levels": pa.array(found, pa.binary()),
+            }
+        )
+
+    asked = chunks.select("chunk", "text").mapInArrow(ask, "part int, copy int, chunk string, size int, keys binary")
+    bits = table.withColumn("part", F.expr(f"cast(segment div {GROUP} as int)")).withColumn(
+        "copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+    )
+    by = ("part", "copy")
+    answers = bits.groupBy(*by).cogroup(asked.groupBy(*by))
+    return _stored(answers.applyInArrow(answer, "chunk string, n int, part int, size int, levels binary"), "levels")
+
+
+def _told(keys: np.ndarray, told: pa.Table, model: Model, n: int) -> np.ndarray:
+    """Levels of a chunk's n-grams, from the answers of all groups."""
+    at = np.argsort(keys)
+    runs = _runs(keys[at])
+    _, order = _asked(keys[at[runs[:-1]]], model.segments[n - 1])
+    own = told.filter(pc.equal(told.column("n"), n)).sort_by("part")
+    level = np.zeros(len(order), np.uint8)
+    level[order] = np.concatenate(
+        [_unpack(x, size) for size, x in zip(own.column("size").to_pylist(), own.column("levels").to_pylist())]
+    )
+    out = np.empty(len(keys), np.uint8)
+    out[at] = np.repeat(level, np.diff(runs))
+    return out
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, row (a hash of id and text), n_tokens and score, the log10 probability, of each text."""
     narrow = _keyed(docs, id_col, text_col)
-    if not model.filters:
-        narrow = _read_levels(narrow, model)
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words, model = s.Words(batch.column("text")), shipped.value
-        levels = None if model.filters else _levels_of(batch, len(model.segments))
-        text, logs = model.log_probabilities(words, levels)
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column("id"),
-                batch.column("row"),
-                pa.array(words.per_text + 1),
-                pa.array(np.bincount(text, logs, words.texts)),
-            ],
-            ["id", "row", "n_tokens", "score"],
-        )
-
     kind = narrow.schema["id"].dataType.simpleString()
-    return s.map_chunks(narrow, "text", run, f"id {kind}, row long, n_tokens long, score double")
+    with s.Scope() as scope:
+        chunks = _chunked(narrow)
+        count = chunks.count()
+        orders = range(1, len(model.segments) + 1)
+        told = reduce(DataFrame.unionByName, [_levels(chunks, count, model, n) for n in orders])
+        model = replace(model, tables=[])
+
+        def run(chunk: pa.Table, told: pa.Table) -> pa.Table:
+            ids, rows, texts = (chunk.column(c).combine_chunks().flatten() for c in ("id", "row", "text"))
+            pieces = list(_pieces(texts))
+            tokens = [_sequence(words) for words in pieces]
+            levels, start = [_told(_keys_of(tokens, n), told, model, n) for n in orders], 0
+            counts, scores = [], []
+            for words in pieces:
+                stop = start + words.count + words.texts
+                text, logs = model.log_probabilities(words, [x[start:stop] for x in levels])
+                counts.append(words.per_text + 1)
+                scores.append(np.bincount(text, logs, words.texts))
+                start = stop
+            columns = [ids, rows, pa.array(np.concatenate(counts)), pa.array(np.concatenate(scores))]
+            return pa.table(columns, ["id", "row", "n_tokens", "score"])
+
+        scored = chunks.groupBy("chunk").cogroup(told.groupBy("chunk"))
+        schema = f"id {kind}, row long, n_tokens long, score double"
+        return scope.keep(_stored(scored.applyInArrow(run, schema), "scores"))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -271,7 +533,7 @@ def unigram_baseline(
     shipped = docs.sparkSession.sparkContext.broadcast((keys, counts))
 
     def tally(batch: pa.RecordBatch):
-        hashes, text, place = _sequence(s.Words(batch.column("text")))
+        hashes, text, place = _tokens(batch.column("text"))
         own = s.signed(_ngrams(hashes, place, 1))
         keys, counts = shipped.value
         at = np.minimum(np.searchsorted(keys, own), max(0, len(keys) - 1))
@@ -290,7 +552,8 @@ def unigram_baseline(
     def others(batch: pa.RecordBatch) -> pa.RecordBatch:
         own, text, found, _ = tally(batch)
         own, text = own[~found], text[~found]
-        order = np.lexsort((own, text))
+        order = np.argsort(own)
+        order = order[np.argsort(text[order].astype(np.uint16 if batch.num_rows <= 1 << 16 else np.int64), kind="stable")]
         own, text = own[order], text[order]
         new = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (text[1:] != text[:-1])]) if len(own) else order
         return pa.RecordBatch.from_arrays(

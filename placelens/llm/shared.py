@@ -235,14 +235,14 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with about ``CHUNK_BYTES`` of text; a longer text comes alone, whole."""
+def chunks(batches: Iterator[pa.RecordBatch], text: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with about ``most`` bytes of text; a longer text comes alone, whole."""
     for batch in batches:
         size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         total, start = np.cumsum(size.astype(np.int64)), 0
         while start < batch.num_rows:
             before = total[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(total, before + CHUNK_BYTES, side="right")))
+            stop = max(start + 1, int(np.searchsorted(total, before + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
 
@@ -270,6 +270,7 @@ def lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
 
 SEGMENT_BITS = 1 << 20
 PROBES = 6
+PLACE_SHIFT = np.uint64(44)
 
 
 def segments_for(entries: int, bits_per_entry: int = 12) -> int:
@@ -278,10 +279,15 @@ def segments_for(entries: int, bits_per_entry: int = 12) -> int:
 
 def bloom_places(keys: np.ndarray, salt: np.ndarray | int = 0, probes: range = range(PROBES)) -> np.ndarray:
     """Bit numbers inside a key's segment, a row for each probe."""
-    a = mix(keys + np.asarray(salt, np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    b = mix(a ^ _PAD) | np.uint64(1)
+    a, b = bloom_steps(keys, salt)
     steps = np.array(probes, np.uint64)[:, None] + np.uint64(1)
-    return ((a + steps * b) >> np.uint64(44)) & np.uint64(SEGMENT_BITS - 1)
+    return ((a + steps * b) >> PLACE_SHIFT) & np.uint64(SEGMENT_BITS - 1)
+
+
+def bloom_steps(keys: np.ndarray, salt: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """a and b of each key: probe i looks at bit (a + (i + 1) * b) >> PLACE_SHIFT."""
+    a = mix(keys + np.asarray(salt, np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return a, mix(a ^ _PAD) | np.uint64(1)
 
 
 def bloom_segment(keys: np.ndarray, count: int) -> np.ndarray:

@@ -198,6 +198,36 @@ def test_models_larger_than_a_broadcast_give_the_same(spark, odd, monkeypatch):
     assert usual == sorted((r.row, round(r.score, 6)) for r in lm.score(docs, parts).collect())
 
 
+def test_packed_ngrams_score_as_the_filters_do(spark, odd, monkeypatch):
+    docs = documents(spark).select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    train = docs.where("doc_id % 3 <> 0").select("text")
+    for name, small in {"TOGETHER": 5000, "BUCKET": 3000, "CHUNK": 40_000, "ASKED": 2000}.items():
+        monkeypatch.setattr(lm, name, small)
+    model = lm.train(train, lm.count_words(train))
+    count = Counter()
+    for (text,) in train.collect():
+        tokens = [None, *words(text), "</s>"]
+        count.update(zip(tokens, tokens[1:]))
+        count.update(zip(tokens[1:], tokens[2:], tokens[3:]))
+    levels = [sum(int(t) <= n for t in model.thresholds[:-1]) for k, n in count.items() if len(k) == 3]
+    assert model.segments[2] == shared.segments_for(sum(levels))
+    rows = lm._keyed(docs, "doc_id", "text").collect()
+    text, logs = model.log_probabilities(shared.Words(pa.array([r.text for r in rows])))
+    want = sorted(zip([r.row for r in rows], np.bincount(text, logs).round(6)))
+    assert want == sorted((r.row, round(r.score, 6)) for r in lm.score(docs, model).collect())
+
+
+def test_scoring_leaves_no_copies_of_the_texts(spark, tmp_path, monkeypatch):
+    made = []
+    monkeypatch.setattr(shared, "new_folder", lambda _, name: made.append(tmp_path / f"{len(made)}" / name) or str(made[-1]))
+    docs = documents(spark).select("doc_id", "text")
+    train = docs.select("text")
+    model = lm.train(train, lm.count_words(train))
+    lm.score(docs, model)
+    kept = sorted(x.name for x in made if x.exists())
+    assert kept == ["filter", "filter", "filter", "scores", "words"]
+
+
 def test_rare_words_are_kept_at_any_size(spark):
     rare = spark.createDataFrame([("seldom seen words",)], "text string")
     often = spark.range(20_000).selectExpr("repeat('very common words here ', 150) AS text")
