@@ -25,6 +25,7 @@ token; a null id counts as the empty text where it is hashed; repeated rows are
 
 from __future__ import annotations
 
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -41,11 +42,11 @@ from placelens.llm import shared as s
 
 MOST_SEGMENTS = 1 << 10
 GROUP = 1 << 5  # segments that a task holds at a time
-TOGETHER = 1 << 22  # n-grams that a counting task sorts at a time
+TOGETHER = 1 << 20  # n-grams that a task sorts at a time
 BUCKET = 1 << 19  # training tokens for each bucket of keys
 PIECE = 1 << 17  # bytes of text that are cut into words at a time, so that their arrays stay in the cache
 CHUNK = 1 << 23  # bytes of text whose n-grams are asked for together
-ASKED = 1 << 23  # n-grams that a group of segments answers in a task, about
+ASKED = 1 << 22  # n-grams that a group of segments answers in a task, about
 EXACT = 2.0**-19
 BASE = 1.4
 WEIGHTS = (0.15, 0.4)
@@ -283,7 +284,9 @@ def _leveled(training: DataFrame, n: int, thresholds: np.ndarray, tokens: int) -
             yield distinct(held)
 
     def distinct(held: list[np.ndarray]) -> pa.RecordBatch:
-        keys = np.sort(np.concatenate(held))
+        keys = np.concatenate(held)
+        held.clear()
+        keys.sort()
         at = _runs(keys)
         keys = keys[at[:-1]]
         # Buckets are ranges of keys.
@@ -416,7 +419,7 @@ def _levels(chunks: DataFrame, count: int, model: Model, n: int) -> DataFrame:
     segments, table, model = model.segments[n - 1], model.tables[n - 1], replace(model, tables=[])
     groups = -(-segments // GROUP)
     # With many texts to a small filter, copies of a group share its questions.
-    copies = max(1, round(count * CHUNK / 8 / groups / ASKED))
+    copies = max(1, math.ceil(count * CHUNK / 8 / groups / ASKED))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -443,12 +446,16 @@ def _levels(chunks: DataFrame, count: int, model: Model, n: int) -> DataFrame:
         held = np.zeros((GROUP, s.SEGMENT_BITS // 8), np.uint8)
         for segment, row in zip(bits.column("segment").to_pylist(), bits.column("bits").to_pylist()):
             held[segment - first] = np.frombuffer(row, np.uint8)
-        each = [_unpack_keys(k, size) for size, k in zip(asked.column("size").to_pylist(), asked.column("keys").to_pylist())]
+        each = [(size, keys.as_py()) for size, keys in zip(asked.column("size").to_pylist(), asked.column("keys"))]
         # Common n-grams are asked for by many chunks and have the most levels.
-        keys = np.sort(np.concatenate([*each, np.zeros(0, np.uint64)]))
-        keys = keys[_runs(keys)[:-1]]
-        level = model.levels(n, keys, held, first)
-        found = [_pack(level[np.searchsorted(keys, own)]) for own in each]
+        keys = np.concatenate([*(_unpack_keys(own, size) for size, own in each), np.zeros(0, np.uint64)])
+        keys.sort()
+        keys = keys[np.r_[True, keys[1:] != keys[:-1]][: len(keys)]]
+        level = np.zeros(len(keys), np.uint8)
+        for start in range(0, len(keys), TOGETHER >> 3):
+            some = slice(start, start + (TOGETHER >> 3))
+            level[some] = model.levels(n, keys[some], held, first)
+        found = [_pack(level[np.searchsorted(keys, _unpack_keys(own, size))]) for size, own in each]
         return pa.table(
             {
                 "chunk": asked.column("chunk"),
