@@ -7,10 +7,12 @@ n-gram of level q is put into a Bloom filter q times, as (n-gram, 1) .. (n-gram,
 more than one level.
 
 Every n-gram of the training texts is kept, so the filters grow with the corpus. They are tables of segments, of which no
-task holds more than ``GROUP``. Counting is over all training texts, by key. A score's n-grams go to their segments: texts
-are packed into chunks, each chunk sends its distinct n-grams to the groups of segments that hold them, and gets their
-levels back in the same order. Keys travel sorted and packed, not as rows; an order at a time, and a step's shuffle files
-go when it is written. ``filters`` has the bits themselves of models of at most ``MOST_SEGMENTS`` (128 MiB).
+task holds more than ``GROUP``. Texts are cut into words once (:func:`cut`) and packed into chunks, which all steps read.
+Counting is over all training texts, by key. A score's n-grams go to their segments: each chunk sends its distinct n-grams
+to the groups of segments that hold them, and gets their levels back in the same order. Keys travel sorted and packed, not
+as rows; an order at a time, and a step's shuffle files go when it is written. Packed rows are megabytes, so few are copied
+between files, Spark and Python at a time (``_stored``). ``filters`` has the bits themselves of models of at most
+``MOST_SEGMENTS`` (128 MiB).
 
 P_n(w | h) = (1 - weight) P_{n-1}(w | h') + weight * c(h w) / c(h) where h is in the filter, with the
 level's lowest count above and the highest below, else P_{n-1}. P_1 shares what rare words hold evenly among
@@ -28,14 +30,15 @@ from __future__ import annotations
 import math
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placelens.llm import shared as s
@@ -46,6 +49,8 @@ TOGETHER = 1 << 20  # n-grams that a task sorts at a time
 BUCKET = 1 << 19  # training tokens for each bucket of keys
 PIECE = 1 << 17  # bytes of text that are cut into words at a time, so that their arrays stay in the cache
 CHUNK = 1 << 23  # bytes of text whose n-grams are asked for together
+SCORED = 1 << 15  # tokens that are scored at a time, about
+BATCH = 1 << 22  # bytes that go to Python at a time; a larger row comes alone
 ASKED = 1 << 22  # n-grams that a group of segments answers in a task, about
 EXACT = 2.0**-19
 BASE = 1.4
@@ -68,16 +73,6 @@ def _pieces(texts: pa.Array) -> Iterator[s.Words]:
         yield s.Words(piece.column("text"))
 
 
-def _tokens(texts: pa.Array) -> tuple[np.ndarray, ...]:
-    """:func:`_sequence` of all texts, at least one."""
-    parts, before = [], 0
-    for words in _pieces(texts):
-        hashes, text, place = _sequence(words)
-        parts.append((hashes, text + before, place))
-        before += words.texts
-    return tuple(np.concatenate(x) for x in zip(*parts))
-
-
 def _ngrams(hashes: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
     """Key of the n-gram that ends at each token; one mark stands before a text."""
     at = np.arange(len(hashes))
@@ -146,9 +141,18 @@ class Model:
                 first = last
         return out
 
-    def log_probabilities(self, words: s.Words, levels: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(text, log10 probability) of every token; levels: of every token by order, if read already."""
+    def log_probabilities(self, words: s.Words) -> tuple[np.ndarray, np.ndarray]:
+        """(text, log10 probability) of every token."""
         hashes, text, place = _sequence(words)
+
+        def read(n: int, asked: np.ndarray) -> np.ndarray:
+            keys, back = np.unique(_ngrams(hashes, place, n)[asked], return_inverse=True)
+            return self.levels(n, keys)[back]
+
+        return text, self.logs(place, read)
+
+    def logs(self, place: np.ndarray, read: Callable[[int, np.ndarray], np.ndarray]) -> np.ndarray:
+        """log10 probability of every token; read: levels of the n-grams that end at the tokens asked for, by order."""
         low = np.r_[0, self.thresholds[:-1]].astype(float)
         high = np.r_[0, self.thresholds[1:] - 1].astype(float)
         middle = np.sqrt(low * high)
@@ -156,16 +160,12 @@ class Model:
         probability = np.zeros(0)
         for n in range(1, len(self.segments) + 1):
             # An n-gram can only be in the filter if the two n-grams inside it are.
-            asked = np.ones(len(hashes), bool)
+            asked = np.ones(len(place), bool)
             if n > 1:
                 asked = (before > 0) & (np.r_[False, before[:-1] > 0] | (place == 0))
                 asked &= (place > 0) | (n == 2)
-            level = np.zeros(len(hashes), np.int64)
-            if levels is not None:
-                level[asked] = levels[n - 1][asked]
-            else:
-                keys, back = np.unique(_ngrams(hashes, place, n)[asked], return_inverse=True)
-                level[asked] = self.levels(n, keys)[back]
+            level = np.zeros(len(place), np.int64)
+            level[asked] = read(n, asked)
             if n == 1:
                 known = (middle[level] * self.scale + 0.1) / self.whole
                 probability = np.where(level > 0, known, self.rare_share)
@@ -179,34 +179,57 @@ class Model:
                 weight = self.weights[n - 2]
                 probability = np.where(found, (1 - weight) * probability + weight * ratio, probability)
             before = level
-        return text, np.log10(probability)
+        return np.log10(probability)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """:func:`shared.materialize`; the shuffle files of its steps go as soon as it is written."""
-    conf, clean = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(clean, None)
-    conf.set(clean, "true")
+@contextmanager
+def _set(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
-        return s.materialize(df, name)
+        yield
     finally:
-        if before is None:
-            conf.unset(clean)
-        else:
-            conf.set(clean, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+# Parquet looks at sizes after 100 rows else, which may be a gigabyte; what is packed isn't packed again.
+_LARGE_ROWS = {
+    "compression": "none",
+    "parquet.enable.dictionary": "false",
+    "parquet.block.size": str(1 << 24),
+    "parquet.block.size.row.check.min": "1",
+    "parquet.page.size.row.check.min": "1",
+}
+
+
+def _stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """:func:`shared.materialize` with few rows in memory; the shuffle files of its steps go as soon as it is written."""
+    settings = {
+        "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH),
+        "spark.sql.parquet.columnarReaderBatchSize": "16",
+    }
+    with _set(df.sparkSession, settings):
+        return s.materialize(df, name, **options)
 
 
 # Sorted keys travel as their differences, bytes of equal weight together.
 
 
-def _pack(values: np.ndarray) -> bytes:
-    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T
+def _pack(values: np.ndarray, kind: str = "<u8") -> bytes:
+    planes = values.astype(kind).view(np.uint8).reshape(len(values), -1).T
     return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
-def _unpack(data: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(data, 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
-    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+def _unpack(data: bytes, n: int, kind: str = "<u8") -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, width * n, codec="zstd", asbytes=True), np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def _pack_keys(keys: np.ndarray) -> bytes:
@@ -251,21 +274,115 @@ def _group_of(keys: np.ndarray, segments: int) -> np.ndarray:
     return (s.bloom_segment(keys, segments) // GROUP).astype(np.uint16 if segments <= GROUP << 16 else np.int32)
 
 
-def _counted(training: DataFrame, n: int) -> DataFrame:
-    """(key, n) of the n-grams in the training texts."""
+@dataclass
+class _Chunk:
+    """The tokens of several texts: their distinct hashes, which of them each token is, and how many each text has."""
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keys = np.sort(_training_keys(batch, n))
-        at = _runs(keys)
-        return pa.RecordBatch.from_arrays([pa.array(s.signed(keys[at[:-1]])), pa.array(np.diff(at))], ["key", "n"])
+    words: np.ndarray
+    index: np.ndarray
+    lengths: np.ndarray
+
+    @classmethod
+    def all_of(cls, batches: Iterator[pa.RecordBatch]) -> Iterator[_Chunk]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield cls.at(batch, i)
+
+    @classmethod
+    def at(cls, rows: pa.RecordBatch | pa.Table, i: int) -> _Chunk:
+        of = {c: rows.column(c)[i].as_py() for c in ("texts", "types", "size", "words", "tokens", "lengths")}
+        parts = (("words", "types", "<u8"), ("tokens", "size", "<u4"), ("lengths", "texts", "<u4"))
+        words, index, lengths = (_unpack(of[data], of[n], kind) for data, n, kind in parts)
+        return cls(words, index, lengths.astype(np.int64))
+
+    @cached_property
+    def place(self) -> np.ndarray:
+        return np.arange(len(self.index)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+
+    @property
+    def text(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.lengths)), self.lengths)
+
+    @property
+    def word_keys(self) -> np.ndarray:
+        """Key of each distinct word as an n-gram of its own; different words have different ones."""
+        return s.combine([self.words])
+
+    def keys(self, n: int) -> np.ndarray:
+        return _ngrams(self.words[self.index], self.place, n)
+
+    def asked(self, n: int) -> np.ndarray:
+        """Distinct n-grams, sorted."""
+        keys = np.sort(self.word_keys if n == 1 else self.keys(n))
+        return keys[_runs(keys)[:-1]]
+
+
+_CUT = "texts int, types int, size int, words binary, tokens binary, lengths binary"
+
+
+def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Texts cut into words, in chunks: what the other functions here take instead of texts, so that they cut none themselves."""
+    return _cut(_keyed(docs, id_col, text_col))
+
+
+def _is_cut(df: DataFrame) -> bool:
+    return {"chunk", "tokens", "lengths"} <= set(df.columns)
+
+
+def _cut(narrow: DataFrame) -> DataFrame:
+    """A row for each ``CHUNK`` bytes of the column text, about, with the packed tokens and lists of the other columns."""
+    others = [c for c in narrow.columns if c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in s.chunks(batches, "text", min(PIECE, CHUNK)):
+            own = batch.column("text").nbytes
+            if held and size + own > CHUNK:
+                yield pack(held)
+                held, size = [], 0
+            words = s.Words(batch.column("text"))
+            held.append((_sequence(words)[0], words.per_text + 1, batch.select(others)))
+            size += own
+        if held:
+            yield pack(held)
+
+    def pack(held: list[tuple[np.ndarray, np.ndarray, pa.RecordBatch]]) -> pa.RecordBatch:
+        hashes, lengths = (np.concatenate([x[k] for x in held]) for k in (0, 1))
+        coded = pa.array(hashes).dictionary_encode()
+        words, index = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        counts = [pa.array([len(x)], pa.int32()) for x in (lengths, words, index)]
+        packed = [pa.array([_pack(x, kind)]) for x, kind in ((words, "<u8"), (index, "<u4"), (lengths, "<u4"))]
+        ends = pa.array([0, len(lengths)], pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, pa.concat_arrays([x[2].column(c) for x in held])) for c in others]
+        names = ["chunk", "texts", "types", "size", "words", "tokens", "lengths", *others]
+        return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), *counts, *packed, *lists], names)
 
-    return s.map_chunks(training, "text", run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    lists = "".join(f", {c} array<{narrow.schema[c].dataType.simpleString()}>" for c in others)
+    return _stored(narrow.mapInArrow(run, f"chunk string, {_CUT}{lists}"), "texts", **_LARGE_ROWS)
 
 
-def _training_keys(batch: pa.RecordBatch, n: int) -> np.ndarray:
-    hashes, _, place = _tokens(batch.column("text"))
+def _tokens(cut: DataFrame) -> DataFrame:
+    return cut.select("chunk", "texts", "types", "size", "words", "tokens", "lengths")
+
+
+def _training(training: DataFrame) -> DataFrame:
+    return _tokens(training if _is_cut(training) else _cut(training.select("text")))
+
+
+def _counted(training: DataFrame) -> DataFrame:
+    """(key, n) of the words in the training texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _Chunk.all_of(batches):
+            counts = np.bincount(chunk.index, minlength=len(chunk.words))
+            yield pa.RecordBatch.from_arrays([pa.array(s.signed(chunk.word_keys)), pa.array(counts)], ["key", "n"])
+
+    return training.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def _training_keys(chunk: _Chunk, n: int) -> np.ndarray:
     # From the second order on, a mark before the text is one word of the n-gram at most.
-    return _ngrams(hashes, place, n)[(place > 0) | (n <= 2)]
+    return chunk.keys(n) if n <= 2 else chunk.keys(n)[chunk.place > 0]
 
 
 def _leveled(training: DataFrame, n: int, thresholds: np.ndarray, tokens: int) -> DataFrame:
@@ -274,7 +391,7 @@ def _leveled(training: DataFrame, n: int, thresholds: np.ndarray, tokens: int) -
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
-        for chunk in s.chunks(batches, "text"):
+        for chunk in _Chunk.all_of(batches):
             held.append(_training_keys(chunk, n))
             count += len(held[-1])
             if count >= TOGETHER:
@@ -301,8 +418,8 @@ def _leveled(training: DataFrame, n: int, thresholds: np.ndarray, tokens: int) -
         out = pa.Table.from_batches([_packed(np.zeros(len(at), np.int32), keys[at], level)])
         return out.append_column("held", pa.array([int(level.sum())], pa.int64()))
 
-    sent = training.select("text").mapInArrow(send, _PACKED)
-    return _stored(sent.groupBy("part").applyInArrow(add, f"{_PACKED}, held long"), "levels")
+    sent = training.mapInArrow(send, _PACKED)
+    return _stored(sent.groupBy("part").applyInArrow(add, f"{_PACKED}, held long"), "levels", **_LARGE_ROWS)
 
 
 def _by_group(keys: np.ndarray, level: np.ndarray, segments: int) -> pa.RecordBatch:
@@ -328,16 +445,17 @@ def _filter(entries: DataFrame, segments: int) -> DataFrame:
         bits = np.packbits(flat.reshape(last - first, -1), axis=1, bitorder="little")
         return pa.table({"segment": pa.array(range(first, last), pa.int32()), "bits": [row.tobytes() for row in bits]})
 
-    return _stored(entries.groupBy("part").applyInArrow(fill, "segment int, bits binary"), "filter")
+    return _stored(entries.groupBy("part").applyInArrow(fill, "segment int, bits binary"), "filter", **_LARGE_ROWS)
 
 
 def count_words(training: DataFrame) -> DataFrame:
-    """(key, n) of every word and of the end mark in a table with the column text."""
-    return _stored(_counted(training, 1), "words")
+    """(key, n) of every word and of the end mark in a table with the column text, or one of :func:`cut`."""
+    with s.Scope() as scope:
+        return scope.keep(_stored(_counted(_training(training)), "words"))
 
 
 def train(training: DataFrame, words: DataFrame, base: float = BASE, weights: tuple[float, ...] = WEIGHTS) -> Model:
-    """The model of a table with the column text; words: its :func:`count_words`."""
+    """The model of a table with the column text, or one of :func:`cut`; words: its :func:`count_words`."""
     tokens, types = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     thresholds = [1]
     while thresholds[-1] <= tokens:
@@ -351,81 +469,52 @@ def train(training: DataFrame, words: DataFrame, base: float = BASE, weights: tu
     guessed = words.agg(F.sum(middle)).first()[0]
     whole = tokens + 0.1 * (types + 1)
     model = Model(tokens, types, 0.1 / whole, tokens / (guessed or 1), thresholds, weights)
-    texts = training.count()
-    model.edge = int((thresholds[:-1] <= texts).sum())
-    for n in range(1, len(weights) + 2):
-        with s.Scope() as scope:
-            if n == 1:
-                leveled = words.select("key", level.alias("level"))
-                held = leveled.agg(F.coalesce(F.sum("level"), F.lit(0))).first()[0]
-            else:
-                leveled = _leveled(training, n, thresholds, tokens)
-                held = leveled.agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0]
-            segments = s.segments_for(held)
-
-            def route(batches: Iterator[pa.RecordBatch], n=n, segments=segments) -> Iterator[pa.RecordBatch]:
-                for batch in batches:
-                    if n > 1:
-                        yield from (_by_group(*pair, segments) for pair in _unpacked(batch))
-                    else:
-                        keys, level = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "level"))
-                        order = np.argsort(keys.view(np.uint64))
-                        yield _by_group(keys.view(np.uint64)[order], level[order], segments)
-
-            model.segments.append(segments)
-            model.tables.append(scope.keep(_filter(leveled.mapInArrow(route, _PACKED), segments)))
+    with s.Scope() as outer:
+        training = _training(training)
+        texts = training.agg(F.coalesce(F.sum("texts"), F.lit(0))).first()[0]
+        model.edge = int((thresholds[:-1] <= texts).sum())
+        for n in range(1, len(weights) + 2):
+            with s.Scope() as scope:
+                if n == 1:
+                    leveled = words.select("key", level.alias("level"))
+                    held = leveled.agg(F.coalesce(F.sum("level"), F.lit(0))).first()[0]
+                else:
+                    leveled = _leveled(training, n, thresholds, tokens)
+                    held = leveled.agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0]
+                segments = s.segments_for(held)
+
+                def route(batches: Iterator[pa.RecordBatch], n=n, segments=segments) -> Iterator[pa.RecordBatch]:
+                    for batch in batches:
+                        if n > 1:
+                            yield from (_by_group(*pair, segments) for pair in _unpacked(batch))
+                        else:
+                            keys, level = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "level"))
+                            order = np.argsort(keys.view(np.uint64))
+                            yield _by_group(keys.view(np.uint64)[order], level[order], segments)
+
+                model.segments.append(segments)
+                model.tables.append(outer.keep(scope.keep(_filter(leveled.mapInArrow(route, _PACKED), segments))))
     return model
 
 
-def _chunked(narrow: DataFrame) -> DataFrame:
-    """(chunk, id, row, text): lists of about ``CHUNK`` bytes of text, so that a chunk is one row wherever it is read."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in s.chunks(batches, "text"):
-            own = batch.column("text").nbytes
-            if held and size + own > CHUNK:
-                yield pack(held)
-                held, size = [], 0
-            held.append(batch)
-            size += own
-        if held:
-            yield pack(held)
-
-    def pack(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(held).combine_chunks()
-        ends = pa.array([0, table.num_rows], pa.int32())
-        columns = [pa.ListArray.from_arrays(ends, pa.concat_arrays(table.column(c).chunks)) for c in ("id", "row", "text")]
-        chunk = pa.array([uuid.uuid4().hex])
-        return pa.RecordBatch.from_arrays([chunk, *columns], ["chunk", "id", "row", "text"])
-
-    kind = narrow.schema["id"].dataType.simpleString()
-    return _stored(narrow.mapInArrow(run, f"chunk string, id array<{kind}>, row array<long>, text array<string>"), "texts")
-
-
-def _keys_of(pieces: list[tuple[np.ndarray, ...]], n: int) -> np.ndarray:
-    """Key of the n-gram that ends at each token of a chunk."""
-    return np.concatenate([_ngrams(hashes, place, n) for hashes, _, place in pieces])
-
-
 def _asked(keys: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
     """Groups of distinct, sorted keys, and the keys' order by group: how a chunk asks and reads the answers."""
     group = _group_of(keys, segments)
     return group, np.argsort(group, kind="stable")
 
 
-def _levels(chunks: DataFrame, count: int, model: Model, n: int) -> DataFrame:
+def _levels(chunks: DataFrame, model: Model, n: int) -> DataFrame:
     """(chunk, n, part, levels): for each chunk and group of segments the levels of its distinct n-grams, by key."""
     segments, table, model = model.segments[n - 1], model.tables[n - 1], replace(model, tables=[])
     groups = -(-segments // GROUP)
     # With many texts to a small filter, copies of a group share its questions.
-    copies = max(1, math.ceil(count * CHUNK / 8 / groups / ASKED))
+    most = chunks.agg(F.coalesce(F.sum("types" if n == 1 else "size"), F.lit(0))).first()[0]
+    copies = max(1, math.ceil(most / groups / ASKED))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, texts in zip(batch.column("chunk").to_pylist(), batch.column("text")):
-                keys = np.sort(_keys_of([_sequence(words) for words in _pieces(texts.values)], n))
-                keys = keys[_runs(keys)[:-1]]
+            for i, name in enumerate(batch.column("chunk").to_pylist()):
+                keys = _Chunk.at(batch, i).asked(n)
                 group, order = _asked(keys, segments)
                 keys, group = keys[order], group[order]
                 at = _runs(group)
@@ -433,8 +522,8 @@ def _levels(chunks: DataFrame, count: int, model: Model, n: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(group[at[:-1]], pa.int32()),
-                        pa.array([zlib.crc32(chunk.encode()) % copies] * len(sent), pa.int32()),
-                        pa.array([chunk] * len(sent)),
+                        pa.array([zlib.crc32(name.encode()) % copies] * len(sent), pa.int32()),
+                        pa.array([name] * len(sent)),
                         pa.array(np.diff(at), pa.int32()),
                         pa.array(sent, pa.binary()),
                     ],
@@ -466,20 +555,23 @@ def _levels(chunks: DataFrame, count: int, model: Model, n: int) -> DataFrame:
             }
         )
 
-    asked = chunks.select("chunk", "text").mapInArrow(ask, "part int, copy int, chunk string, size int, keys binary")
+    asked = _tokens(chunks).mapInArrow(ask, "part int, copy int, chunk string, size int, keys binary")
     bits = table.withColumn("part", F.expr(f"cast(segment div {GROUP} as int)")).withColumn(
         "copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
     )
     by = ("part", "copy")
     answers = bits.groupBy(*by).cogroup(asked.groupBy(*by))
-    return _stored(answers.applyInArrow(answer, "chunk string, n int, part int, size int, levels binary"), "levels")
+    schema = "chunk string, n int, part int, size int, levels binary"
+    return _stored(answers.applyInArrow(answer, schema), "levels", **_LARGE_ROWS)
 
 
-def _told(keys: np.ndarray, told: pa.Table, model: Model, n: int) -> np.ndarray:
+def _told(chunk: _Chunk, told: pa.Table, model: Model, n: int) -> np.ndarray:
     """Levels of a chunk's n-grams, from the answers of all groups."""
+    keys = chunk.word_keys if n == 1 else chunk.keys(n)
     at = np.argsort(keys)
-    runs = _runs(keys[at])
-    _, order = _asked(keys[at[runs[:-1]]], model.segments[n - 1])
+    keys = keys[at]
+    runs = _runs(keys)
+    _, order = _asked(keys[runs[:-1]], model.segments[n - 1])
     own = told.filter(pc.equal(told.column("n"), n)).sort_by("part")
     level = np.zeros(len(order), np.uint8)
     level[order] = np.concatenate(
@@ -487,33 +579,31 @@ def _told(keys: np.ndarray, told: pa.Table, model: Model, n: int) -> np.ndarray:
     )
     out = np.empty(len(keys), np.uint8)
     out[at] = np.repeat(level, np.diff(runs))
-    return out
+    return out[chunk.index] if n == 1 else out
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, row (a hash of id and text), n_tokens and score, the log10 probability, of each text."""
-    narrow = _keyed(docs, id_col, text_col)
-    kind = narrow.schema["id"].dataType.simpleString()
+    """id, row (a hash of id and text), n_tokens and score, the log10 probability, of each text; docs: texts or :func:`cut`."""
     with s.Scope() as scope:
-        chunks = _chunked(narrow)
-        count = chunks.count()
+        chunks = docs if _is_cut(docs) else cut(docs, id_col, text_col)
+        kind = chunks.schema["id"].dataType.elementType.simpleString()
         orders = range(1, len(model.segments) + 1)
-        told = reduce(DataFrame.unionByName, [_levels(chunks, count, model, n) for n in orders])
+        told = reduce(DataFrame.unionByName, [_levels(chunks, model, n) for n in orders])
         model = replace(model, tables=[])
 
-        def run(chunk: pa.Table, told: pa.Table) -> pa.Table:
-            ids, rows, texts = (chunk.column(c).combine_chunks().flatten() for c in ("id", "row", "text"))
-            pieces = list(_pieces(texts))
-            tokens = [_sequence(words) for words in pieces]
-            levels, start = [_told(_keys_of(tokens, n), told, model, n) for n in orders], 0
-            counts, scores = [], []
-            for words in pieces:
-                stop = start + words.count + words.texts
-                text, logs = model.log_probabilities(words, [x[start:stop] for x in levels])
-                counts.append(words.per_text + 1)
-                scores.append(np.bincount(text, logs, words.texts))
-                start = stop
-            columns = [ids, rows, pa.array(np.concatenate(counts)), pa.array(np.concatenate(scores))]
+        def run(rows: pa.Table, told: pa.Table) -> pa.Table:
+            ids, row = (rows.column(c).combine_chunks().flatten() for c in ("id", "row"))
+            chunk = _Chunk.at(rows, 0)
+            levels = [_told(chunk, told, model, n) for n in orders]
+            scores = []
+            ends = np.cumsum(chunk.lengths)
+            texts = _runs((ends - 1) // SCORED)
+            for first, last in zip(texts[:-1], texts[1:]):
+                some = slice(ends[first] - chunk.lengths[first], ends[last - 1])
+                logs = model.logs(chunk.place[some], lambda n, asked, some=some: levels[n - 1][some][asked])
+                own = chunk.lengths[first:last]
+                scores.append(np.bincount(np.repeat(np.arange(len(own)), own), logs, len(own)))
+            columns = [ids, row, pa.array(chunk.lengths), pa.array(np.concatenate(scores))]
             return pa.table(columns, ["id", "row", "n_tokens", "score"])
 
         scored = chunks.groupBy("chunk").cogroup(told.groupBy("chunk"))
@@ -532,61 +622,71 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def unigram_baseline(
     docs: DataFrame, words: DataFrame, id_col: str = "doc_id", text_col: str = "text", exact: float = EXACT
 ) -> DataFrame:
-    """row, n_known and base_score by exact word counts, and train_tokens."""
+    """row, n_known and base_score by exact word counts, and train_tokens; docs: texts or :func:`cut`."""
     tokens, types = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     whole = tokens + 0.1 * (types + 1)
     heavy = words.where(F.col("n") >= max(1.0, exact * tokens)).toPandas().sort_values("key")
     keys, counts = heavy["key"].to_numpy(np.int64), heavy["n"].to_numpy(np.int64)
     shipped = docs.sparkSession.sparkContext.broadcast((keys, counts))
 
-    def tally(batch: pa.RecordBatch):
-        hashes, text, place = _tokens(batch.column("text"))
-        own = s.signed(_ngrams(hashes, place, 1))
+    def tally(chunk: _Chunk) -> tuple[np.ndarray, ...]:
+        """Of each distinct word: its key, whether it is a common one, and how often it is met."""
+        own = s.signed(chunk.word_keys)
         keys, counts = shipped.value
         at = np.minimum(np.searchsorted(keys, own), max(0, len(keys) - 1))
         found = keys[at] == own if len(keys) else np.zeros(len(own), bool)
-        return own, text, found, counts[at] if len(keys) else np.zeros(len(own), np.int64)
-
-    def common(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own, text, found, count = tally(batch)
-        n = batch.num_rows
-        logs = np.where(found, np.log10((count + 0.1) / whole), np.log10(0.1 / whole))
-        return pa.RecordBatch.from_arrays(
-            [batch.column("row"), pa.array(np.bincount(text, found, n).astype(np.int64)), pa.array(np.bincount(text, logs, n))],
-            ["row", "known", "base"],
-        )
+        return own, found, counts[at] if len(keys) else np.zeros(len(own), np.int64)
 
-    def others(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own, text, found, _ = tally(batch)
-        own, text = own[~found], text[~found]
-        order = np.argsort(own)
-        order = order[np.argsort(text[order].astype(np.uint16 if batch.num_rows <= 1 << 16 else np.int64), kind="stable")]
-        own, text = own[order], text[order]
-        new = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (text[1:] != text[:-1])]) if len(own) else order
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column("row").take(pa.array(text[new])),
-                pa.array(own[new]),
-                pa.array(np.diff(np.r_[new, len(own)]).astype(np.int32)),
-            ],
-            ["row", "key", "m"],
-        )
+    def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                chunk = _Chunk.at(batch, i)
+                _, found, count = tally(chunk)
+                text, n = chunk.text, len(chunk.lengths)
+                logs = np.where(found, np.log10((count + 0.1) / whole), np.log10(0.1 / whole))
+                known = np.bincount(text, found[chunk.index], n).astype(np.int64)
+                base = np.bincount(text, logs[chunk.index], n)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row")[i].values, pa.array(known), pa.array(base)], ["row", "known", "base"]
+                )
 
-    narrow = _keyed(docs, id_col, text_col)
-    in_both = s.map_chunks(narrow, "text", common, "row long, known long, base double")
-    rest = s.map_chunks(narrow, "text", others, "row long, key long, m int").join(words, "key")
-    # A word that isn't known was given the unseen share above; one found here makes that good.
-    gain = F.col("m") * (F.log10((F.col("n") + 0.1) / whole) - F.log10(F.lit(0.1) / whole))
-    parts = in_both.select("row", F.lit(1).alias("copies"), "known", "base").unionByName(
-        rest.select("row", F.lit(0).alias("copies"), F.col("m").cast("long").alias("known"), gain.alias("base"))
-    )
-    return (
-        parts.groupBy("row")
-        .agg(F.sum("copies").alias("copies"), F.sum("known").alias("known"), F.sum("base").alias("base"))
-        .select(
-            "row",
-            F.expr("known div copies").alias("n_known"),
-            (F.col("base") / F.col("copies")).alias("base_score"),
-            F.lit(tokens).cast("long").alias("train_tokens"),
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                chunk = _Chunk.at(batch, i)
+                own, found, _ = tally(chunk)
+                at = np.flatnonzero(~found[chunk.index])
+                # A number for each word of a text; sorted, a text's words stand together.
+                met = np.sort(chunk.text[at] * len(own) + chunk.index[at])
+                runs = _runs(met)
+                text, word = np.divmod(met[runs[:-1]], len(own))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("row")[i].values.take(pa.array(text)),
+                        pa.array(own[word]),
+                        pa.array(np.diff(runs).astype(np.int32)),
+                    ],
+                    ["row", "key", "m"],
+                )
+
+    with s.Scope() as scope:
+        chunks = docs if _is_cut(docs) else cut(docs, id_col, text_col)
+        chunks = chunks.select("row", *_tokens(chunks).columns)
+        in_both = chunks.mapInArrow(common, "row long, known long, base double")
+        rest = chunks.mapInArrow(others, "row long, key long, m int").join(words, "key")
+        # A word that isn't known was given the unseen share above; one found here makes that good.
+        gain = F.col("m") * (F.log10((F.col("n") + 0.1) / whole) - F.log10(F.lit(0.1) / whole))
+        parts = in_both.select("row", F.lit(1).alias("copies"), "known", "base").unionByName(
+            rest.select("row", F.lit(0).alias("copies"), F.col("m").cast("long").alias("known"), gain.alias("base"))
         )
-    )
+        summed = (
+            parts.groupBy("row")
+            .agg(F.sum("copies").alias("copies"), F.sum("known").alias("known"), F.sum("base").alias("base"))
+            .select(
+                "row",
+                F.expr("known div copies").alias("n_known"),
+                (F.col("base") / F.col("copies")).alias("base_score"),
+                F.lit(tokens).cast("long").alias("train_tokens"),
+            )
+        )
+        return scope.keep(_stored(summed, "baseline"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placelens.llm import chat, decontaminate, fim, jaccard, knn, lm, mixing, quality, repair, spans, toxicity, urls, warc
-from placelens.llm.shared import crc_of_id
+from placelens.llm.shared import Scope, crc_of_id
 
 RULES = [
     ("net", "/", "block"),
@@ -43,10 +43,13 @@ def op1_chat_format(spark: SparkSession, sf: str) -> DataFrame:
 def op2_lm_score(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     held = F.col("held_out")
-    training = docs.where(F.pmod(crc_of_id("doc_id"), F.lit(10)) != 0).select("text")
-    words = lm.count_words(training)
-    scored = lm.score(docs, lm.train(training, words))
-    out = scored.join(lm.unigram_baseline(docs, words), "row")
+    fold = F.pmod(crc_of_id("doc_id"), F.lit(10))
+    with Scope() as scope:
+        training, others = lm.cut(docs.where(fold != 0)), lm.cut(docs.where(fold == 0))
+        docs = training.unionByName(others)
+        words = lm.count_words(training)
+        scored = scope.keep(lm.score(docs, lm.train(training, words)))
+        out = scored.join(scope.keep(lm.unigram_baseline(docs, words)), "row")
     return out.withColumn("held_out", F.pmod(crc_of_id("id"), F.lit(10)) == 0).select(
         F.col("id").alias("doc_id"), held, "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )

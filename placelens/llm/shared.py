@@ -48,10 +48,10 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/placelens-{uuid.uuid4().hex[:12]}/{name}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a Parquet table in the shared folder: cuts lineage and survives lost executors."""
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder: cuts lineage and survives lost executors. options: of its writer."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.scratch = path
     for scope in _SCOPES.get():

@@ -1,5 +1,6 @@
 """The corpus operators against brute force, round trips and held-out labels, on small tables and odd rows."""
 
+import glob
 import math
 import random
 import re
@@ -10,7 +11,9 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -228,6 +231,47 @@ def test_scoring_leaves_no_copies_of_the_texts(spark, tmp_path, monkeypatch):
     assert kept == ["filter", "filter", "filter", "scores", "words"]
 
 
+def test_cut_texts_count_and_score_as_texts_do(spark, odd, monkeypatch):
+    monkeypatch.setattr(lm, "CHUNK", 40_000)
+    docs = documents(spark).select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    docs = docs.unionByName(odd.select("doc_id", "text"))
+    fold = F.coalesce(F.col("doc_id"), F.lit(0)) % 3
+    first, others = lm.cut(docs.where(fold != 0)), lm.cut(docs.where(fold == 0))
+    found = []
+    for train, texts in ((docs.where(fold != 0).select("text"), docs), (first, first.unionByName(others))):
+        words = lm.count_words(train)
+        scored = lm.score(texts, lm.train(train, words)).selectExpr("id", "row", "n_tokens", "round(score, 6)")
+        base = lm.unigram_baseline(texts, words).selectExpr("row", "n_known", "round(base_score, 6)", "train_tokens")
+        found.append([Counter(map(tuple, df.collect())) for df in (words, scored, base)])
+    assert found[0] == found[1] and first.count() > 1
+    # Tokens take less room than the texts did.
+    size = first.selectExpr("sum(length(words) + length(tokens) + length(lengths))").first()[0]
+    assert size < docs.where(fold != 0).selectExpr("sum(octet_length(text))").first()[0]
+
+
+def test_few_large_rows_are_in_memory_at_a_time(spark):
+    names = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = [spark.conf.get(name) for name in names]
+    rows = spark.range(0, 80, 1, 1).selectExpr(f"cast(repeat('x', {1 << 19}) as binary) AS keys")
+
+    def count(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    with shared.Scope():
+        sent = [r.n for r in lm._stored(rows.mapInArrow(count, "n long"), "counts").collect()]
+        stored = lm._stored(rows, "levels", **lm._LARGE_ROWS)
+        read = [r.n for r in lm._stored(stored.mapInArrow(count, "n long"), "counts").collect()]
+        groups = [
+            file.row_group(i).total_byte_size
+            for file in (pq.ParquetFile(f).metadata for f in glob.glob(f"{stored.scratch}/*.parquet"))
+            for i in range(file.num_row_groups)
+        ]
+    assert sum(sent) == sum(read) == 80 and max(sent + read) <= lm.BATCH >> 18
+    assert sum(groups) >= 40 << 20 and max(groups) <= 20 << 20
+    assert before == [spark.conf.get(name) for name in names]
+
+
 def test_rare_words_are_kept_at_any_size(spark):
     rare = spark.createDataFrame([("seldom seen words",)], "text string")
     often = spark.range(20_000).selectExpr("repeat('very common words here ', 150) AS text")
