@@ -19,7 +19,7 @@ level's lowest count above and the highest below, else P_{n-1}. P_1 shares what
 them and one unseen word. So sums over all words stay at 1 or below but for false positives.
 
 The add-0.1 unigram baseline is exact: counts of words with a share of at least ``exact`` (at most 1 / exact words)
-are broadcast, all others are joined by word.
+are broadcast, all others are asked of the ranges of words that hold them, as n-grams are.
 
 Edge cases: a null or empty text is the end mark alone; without training texts P_1 is 1 for each
 token; a null id counts as the empty text where it is hashed; repeated rows are scored alike; an empty table gives no rows.
@@ -49,7 +49,7 @@ TOGETHER = 1 << 20  # n-grams that a task sorts at a time
 BUCKET = 1 << 19  # training tokens for each bucket of keys
 PIECE = 1 << 17  # bytes of text that are cut into words at a time, so that their arrays stay in the cache
 CHUNK = 1 << 23  # bytes of text whose n-grams are asked for together
-SCORED = 1 << 15  # tokens that are scored at a time, about
+RUN = 1 << 15  # tokens that are hashed or scored at a time, about
 BATCH = 1 << 22  # bytes that go to Python at a time; a larger row comes alone
 ASKED = 1 << 22  # n-grams that a group of segments answers in a task, about
 EXACT = 2.0**-19
@@ -274,6 +274,11 @@ def _group_of(keys: np.ndarray, segments: int) -> np.ndarray:
     return (s.bloom_segment(keys, segments) // GROUP).astype(np.uint16 if segments <= GROUP << 16 else np.int32)
 
 
+def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets are ranges of keys."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+
+
 @dataclass
 class _Chunk:
     """The tokens of several texts: their distinct hashes, which of them each token is, and how many each text has."""
@@ -309,7 +314,13 @@ class _Chunk:
         return s.combine([self.words])
 
     def keys(self, n: int) -> np.ndarray:
-        return _ngrams(self.words[self.index], self.place, n)
+        """Key of the n-gram that ends at each token."""
+        out = np.empty(len(self.index), np.uint64)
+        for start in range(0, len(out), RUN):
+            # An n-gram reaches back to n - 1 tokens before.
+            some = slice(max(0, start - n + 1), start + RUN)
+            out[start : start + RUN] = _ngrams(self.words[self.index[some]], self.place[some], n)[start - some.start :]
+        return out
 
     def asked(self, n: int) -> np.ndarray:
         """Distinct n-grams, sorted."""
@@ -387,7 +398,7 @@ def _training_keys(chunk: _Chunk, n: int) -> np.ndarray:
 
 def _leveled(training: DataFrame, n: int, thresholds: np.ndarray, tokens: int) -> DataFrame:
     """Packed keys and levels of the n-grams in the training texts, and the sum of the levels, a row a bucket of keys."""
-    buckets = np.uint64(-(-tokens // BUCKET) or 1)
+    buckets = max(1, -(-tokens // BUCKET))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
@@ -406,8 +417,7 @@ def _leveled(training: DataFrame, n: int, thresholds: np.ndarray, tokens: int) -
         keys.sort()
         at = _runs(keys)
         keys = keys[at[:-1]]
-        # Buckets are ranges of keys.
-        return _packed(((keys >> np.uint64(32)) * buckets >> np.uint64(32)).astype(np.int32), keys, np.diff(at))
+        return _packed(_bucket_of(keys, buckets), keys, np.diff(at))
 
     def add(sent: pa.Table) -> pa.Table:
         keys, counts = (np.concatenate(x) for x in zip(*_unpacked(sent)))
@@ -503,6 +513,29 @@ def _asked(keys: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
     return group, np.argsort(group, kind="stable")
 
 
+_QUESTION = "part int, copy int, chunk string, size int, keys binary"
+
+
+def _question(chunk: str, part: np.ndarray, keys: np.ndarray, copies: int) -> pa.RecordBatch:
+    """What a chunk asks each part; keys must ascend in a run of equal parts."""
+    at = _runs(part)
+    sent = [_pack_keys(keys[a:b]) for a, b in zip(at[:-1], at[1:])]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(part[at[:-1]], pa.int32()),
+            pa.array([zlib.crc32(chunk.encode()) % copies] * len(sent), pa.int32()),
+            pa.array([chunk] * len(sent), pa.string()),
+            pa.array(np.diff(at), pa.int32()),
+            pa.array(sent, pa.binary()),
+        ],
+        ["part", "copy", "chunk", "size", "keys"],
+    )
+
+
+def _copied(table: DataFrame, copies: int) -> DataFrame:
+    return table.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+
+
 def _levels(chunks: DataFrame, model: Model, n: int) -> DataFrame:
     """(chunk, n, part, levels): for each chunk and group of segments the levels of its distinct n-grams, by key."""
     segments, table, model = model.segments[n - 1], model.tables[n - 1], replace(model, tables=[])
@@ -516,19 +549,7 @@ def _levels(chunks: DataFrame, model: Model, n: int) -> DataFrame:
             for i, name in enumerate(batch.column("chunk").to_pylist()):
                 keys = _Chunk.at(batch, i).asked(n)
                 group, order = _asked(keys, segments)
-                keys, group = keys[order], group[order]
-                at = _runs(group)
-                sent = [_pack_keys(keys[a:b]) for a, b in zip(at[:-1], at[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(group[at[:-1]], pa.int32()),
-                        pa.array([zlib.crc32(name.encode()) % copies] * len(sent), pa.int32()),
-                        pa.array([name] * len(sent)),
-                        pa.array(np.diff(at), pa.int32()),
-                        pa.array(sent, pa.binary()),
-                    ],
-                    ["part", "copy", "chunk", "size", "keys"],
-                )
+                yield _question(name, group[order], keys[order], copies)
 
     def answer(key: tuple, bits: pa.Table, asked: pa.Table) -> pa.Table:
         first = key[0].as_py() * GROUP
@@ -555,10 +576,8 @@ def _levels(chunks: DataFrame, model: Model, n: int) -> DataFrame:
             }
         )
 
-    asked = _tokens(chunks).mapInArrow(ask, "part int, copy int, chunk string, size int, keys binary")
-    bits = table.withColumn("part", F.expr(f"cast(segment div {GROUP} as int)")).withColumn(
-        "copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
-    )
+    asked = _tokens(chunks).mapInArrow(ask, _QUESTION)
+    bits = _copied(table.withColumn("part", F.expr(f"cast(segment div {GROUP} as int)")), copies)
     by = ("part", "copy")
     answers = bits.groupBy(*by).cogroup(asked.groupBy(*by))
     schema = "chunk string, n int, part int, size int, levels binary"
@@ -597,7 +616,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             levels = [_told(chunk, told, model, n) for n in orders]
             scores = []
             ends = np.cumsum(chunk.lengths)
-            texts = _runs((ends - 1) // SCORED)
+            texts = _runs((ends - 1) // RUN)
             for first, last in zip(texts[:-1], texts[1:]):
                 some = slice(ends[first] - chunk.lengths[first], ends[last - 1])
                 logs = model.logs(chunk.place[some], lambda n, asked, some=some: levels[n - 1][some][asked])
@@ -629,64 +648,91 @@ def unigram_baseline(
     keys, counts = heavy["key"].to_numpy(np.int64), heavy["n"].to_numpy(np.int64)
     shipped = docs.sparkSession.sparkContext.broadcast((keys, counts))
 
-    def tally(chunk: _Chunk) -> tuple[np.ndarray, ...]:
-        """Of each distinct word: its key, whether it is a common one, and how often it is met."""
-        own = s.signed(chunk.word_keys)
+    buckets = max(1, -(-types // BUCKET))
+
+    def common(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which words are common ones, and how often these are met."""
+        own = s.signed(own)
         keys, counts = shipped.value
-        at = np.minimum(np.searchsorted(keys, own), max(0, len(keys) - 1))
-        found = keys[at] == own if len(keys) else np.zeros(len(own), bool)
-        return own, found, counts[at] if len(keys) else np.zeros(len(own), np.int64)
+        if not len(keys):
+            return np.zeros(len(own), bool), np.zeros(len(own), np.int64)
+        at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+        found = keys[at] == own
+        return found, np.where(found, counts[at], 0)
 
-    def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            for i in range(batch.num_rows):
-                chunk = _Chunk.at(batch, i)
-                _, found, count = tally(chunk)
-                text, n = chunk.text, len(chunk.lengths)
-                logs = np.where(found, np.log10((count + 0.1) / whole), np.log10(0.1 / whole))
-                known = np.bincount(text, found[chunk.index], n).astype(np.int64)
-                base = np.bincount(text, logs[chunk.index], n)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("row")[i].values, pa.array(known), pa.array(base)], ["row", "known", "base"]
-                )
-
-    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= TOGETHER:
+                yield packed(held)
+                held, size = [], 0
+        if size:
+            yield packed(held)
+
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        keys, n = (np.concatenate([x.column(c).to_numpy() for x in held]) for c in ("key", "n"))
+        keys = keys.view(np.uint64)
+        order = np.argsort(keys)
+        return _packed(_bucket_of(keys[order], buckets), keys[order], n[order])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                chunk = _Chunk.at(batch, i)
-                own, found, _ = tally(chunk)
-                at = np.flatnonzero(~found[chunk.index])
-                # A number for each word of a text; sorted, a text's words stand together.
-                met = np.sort(chunk.text[at] * len(own) + chunk.index[at])
-                runs = _runs(met)
-                text, word = np.divmod(met[runs[:-1]], len(own))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("row")[i].values.take(pa.array(text)),
-                        pa.array(own[word]),
-                        pa.array(np.diff(runs).astype(np.int32)),
-                    ],
-                    ["row", "key", "m"],
-                )
+            for i, name in enumerate(batch.column("chunk").to_pylist()):
+                own = _Chunk.at(batch, i).word_keys
+                keys = np.sort(own[~common(own)[0]])
+                if len(keys):
+                    yield _question(name, _bucket_of(keys, buckets), keys, copies)
+
+    def answer(held: pa.Table, asked: pa.Table) -> pa.Table:
+        pairs = [*_unpacked(held), (np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        keys, counts = (np.concatenate(x) for x in zip(*pairs))
+        order = np.argsort(keys)
+        # A count of 0 for what isn't there, after the last key.
+        keys, counts = keys[order], np.append(counts[order], 0)
+        found = []
+        for size, own in zip(asked.column("size").to_pylist(), asked.column("keys")):
+            own = _unpack_keys(own.as_py(), size)
+            at = np.searchsorted(keys, own)
+            at[np.searchsorted(keys, own, side="right") == at] = len(keys)
+            found.append(_pack(counts[at]))
+        columns = [*(asked.column(c) for c in ("chunk", "part", "size")), pa.array(found, pa.binary())]
+        return pa.table(columns, ["chunk", "part", "size", "counts"])
+
+    def run(rows: pa.Table, told: pa.Table) -> pa.Table:
+        chunk, told = _Chunk.at(rows, 0), told.sort_by("part")
+        own = chunk.word_keys
+        found, count = common(own)
+        rest = np.flatnonzero(~found)
+        if len(rest):
+            sent = zip(told.column("size").to_pylist(), told.column("counts").to_pylist())
+            count[rest[np.argsort(own[rest])]] = np.concatenate([_unpack(x, size).astype(np.int64) for size, x in sent])
+        text, n = chunk.text, len(chunk.lengths)
+        known = np.bincount(text, (count > 0)[chunk.index], n).astype(np.int64)
+        base = np.bincount(text, np.log10((count + 0.1) / whole)[chunk.index], n)
+        row = rows.column("row").combine_chunks().flatten()
+        return pa.table([row, pa.array(known), pa.array(base)], ["row", "known", "base"])
 
     with s.Scope() as scope:
         chunks = docs if _is_cut(docs) else cut(docs, id_col, text_col)
-        chunks = chunks.select("row", *_tokens(chunks).columns)
-        in_both = chunks.mapInArrow(common, "row long, known long, base double")
-        rest = chunks.mapInArrow(others, "row long, key long, m int").join(words, "key")
-        # A word that isn't known was given the unseen share above; one found here makes that good.
-        gain = F.col("m") * (F.log10((F.col("n") + 0.1) / whole) - F.log10(F.lit(0.1) / whole))
-        parts = in_both.select("row", F.lit(1).alias("copies"), "known", "base").unionByName(
-            rest.select("row", F.lit(0).alias("copies"), F.col("m").cast("long").alias("known"), gain.alias("base"))
-        )
-        summed = (
-            parts.groupBy("row")
-            .agg(F.sum("copies").alias("copies"), F.sum("known").alias("known"), F.sum("base").alias("base"))
-            .select(
-                "row",
-                F.expr("known div copies").alias("n_known"),
-                (F.col("base") / F.col("copies")).alias("base_score"),
-                F.lit(tokens).cast("long").alias("train_tokens"),
+        most = chunks.agg(F.coalesce(F.sum("types"), F.lit(0))).first()[0]
+        copies = max(1, math.ceil(most / buckets / ASKED))
+        by = ("part", "copy")
+        held = _copied(words.select("key", "n").mapInArrow(send, _PACKED), copies).groupBy(*by)
+        answers = held.cogroup(_tokens(chunks).mapInArrow(ask, _QUESTION).groupBy(*by))
+        told = _stored(answers.applyInArrow(answer, "chunk string, part int, size int, counts binary"), "counts", **_LARGE_ROWS)
+        told = chunks.select("row", *_tokens(chunks).columns).groupBy("chunk").cogroup(told.groupBy("chunk"))
+        summed = told.applyInArrow(run, "row long, known long, base double").groupBy("row")
+        summed = summed.agg(F.count("*").alias("copies"), F.sum("known").alias("known"), F.sum("base").alias("base"))
+        return scope.keep(
+            _stored(
+                summed.select(
+                    "row",
+                    F.expr("known div copies").alias("n_known"),
+                    (F.col("base") / F.col("copies")).alias("base_score"),
+                    F.lit(tokens).cast("long").alias("train_tokens"),
+                ),
+                "baseline",
             )
         )
-        return scope.keep(_stored(summed, "baseline"))

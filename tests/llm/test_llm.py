@@ -249,6 +249,18 @@ def test_cut_texts_count_and_score_as_texts_do(spark, odd, monkeypatch):
     assert size < docs.where(fold != 0).selectExpr("sum(octet_length(text))").first()[0]
 
 
+def test_ngrams_are_hashed_in_runs(monkeypatch):
+    texts = pa.array([prose(i) for i in range(5)] + [None, "", "a", "a b"])
+    hashes, _, place = lm._sequence(shared.Words(texts))
+    words, index = np.unique(hashes, return_inverse=True)
+    chunk = lm._Chunk(words, index, shared.Words(texts).per_text + 1)
+    for run in (1, 7, 1 << 15):
+        monkeypatch.setattr(lm, "RUN", run)
+        for n in (1, 2, 3, 5):
+            assert (chunk.keys(n) == lm._ngrams(hashes, place, n)).all()
+    assert (chunk.word_keys[index] == chunk.keys(1)).all()
+
+
 def test_few_large_rows_are_in_memory_at_a_time(spark):
     names = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
     before = [spark.conf.get(name) for name in names]
